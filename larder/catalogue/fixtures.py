@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from larder.plans.silver import silver_products
 from larder.plans.star import build_star
+from larder.schemas import GOLD
 
 TIE_BREAKERS = ("l_orderkey", "l_linenumber", "l_suppkey")
 SNAPSHOT_KEYS = ("code", "event_date")
@@ -84,8 +85,17 @@ def snapshots(spark: SparkSession, folder: str) -> DataFrame:
     return silver_products(versions(spark, folder), SNAPSHOT_KEYS, TIE_BREAKERS)
 
 
-def star(spark: SparkSession, folder: str, categories: str = "primary") -> dict[str, DataFrame]:
-    return build_star(products(spark, folder), snapshots(spark, folder), categories)
+def star(
+    spark: SparkSession, folder: str, *names: str, categories: str = "primary"
+) -> dict[str, DataFrame]:
+    """Gold tables from the product versions, all of them unless names are given."""
+    rows = versions(spark, folder)
+    return build_star(
+        silver_products(rows, tie_breakers=TIE_BREAKERS),
+        silver_products(rows, SNAPSHOT_KEYS, TIE_BREAKERS),
+        categories,
+        names or GOLD,
+    )
 
 
 # Two sources that name the same things: the part list, and offers whose titles carry typing errors.

@@ -298,7 +298,7 @@ def _product_view(product: DataFrame, brand: DataFrame, category: DataFrame) ->
 @query
 def dim_product(spark: SparkSession, folder: str) -> DataFrame:
     """Derived keys, resolved against the dimensions."""
-    s = fx.star(spark, folder)
+    s = fx.star(spark, folder, "dim_product", "dim_brand", "dim_category")
     return _product_view(s["dim_product"], s["dim_brand"], s["dim_category"])
 
 
@@ -317,13 +317,13 @@ def _bridge_view(bridge: DataFrame, product: DataFrame, category: DataFrame) ->
 
 @query
 def bridge_primary(spark: SparkSession, folder: str) -> DataFrame:
-    s = fx.star(spark, folder)
+    s = fx.star(spark, folder, _BRIDGE, "dim_product", "dim_category")
     return _bridge_view(s[_BRIDGE], s["dim_product"], s["dim_category"])
 
 
 @query
 def bridge_all(spark: SparkSession, folder: str) -> DataFrame:
-    s = fx.star(spark, folder, "all")
+    s = fx.star(spark, folder, _BRIDGE, "dim_product", "dim_category", categories="all")
     return _bridge_view(s[_BRIDGE], s["dim_product"], s["dim_category"])
 
 
@@ -333,13 +333,13 @@ def _fact_view(fact: DataFrame, product: DataFrame) -> DataFrame:
 
 @query
 def fact_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    s = fx.star(spark, folder)
+    s = fx.star(spark, folder, _FACT, "dim_product")
     return _fact_view(s[_FACT], s["dim_product"])
 
 
 @query
 def fact_snapshot_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    s = fx.star(spark, folder)
+    s = fx.star(spark, folder, "dim_product", "dim_time")
     looked_up = star_plan.fact_nutrition_snapshot(
         fx.snapshots(spark, folder), s["dim_product"], s["dim_time"]
     )
@@ -393,49 +393,49 @@ def append_idempotent(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def report_brand_grade_share(spark: SparkSession, folder: str) -> DataFrame:
-    s = fx.star(spark, folder)
+    s = fx.star(spark, folder, _FACT, "dim_product", "dim_brand")
     return reports.top_brands_by_grade(s[_FACT], s["dim_product"], s["dim_brand"])
 
 
 @query
 def report_grade_by_category(spark: SparkSession, folder: str) -> DataFrame:
-    s = fx.star(spark, folder)
+    s = fx.star(spark, folder, _FACT, "dim_product", "dim_category")
     return reports.grade_by_category(s[_FACT], s["dim_product"], s["dim_category"])
 
 
 @query
 def report_sugar_heatmap(spark: SparkSession, folder: str) -> DataFrame:
-    s = fx.star(spark, folder)
+    s = fx.star(spark, folder, _FACT, "dim_product", "dim_category")
     return reports.sugar_by_category_and_country(s[_FACT], s["dim_product"], s["dim_category"])
 
 
 @query
 def report_brand_completeness(spark: SparkSession, folder: str) -> DataFrame:
-    s = fx.star(spark, folder)
+    s = fx.star(spark, folder, _FACT, "dim_product", "dim_brand")
     return reports.completeness_by_brand(s[_FACT], s["dim_product"], s["dim_brand"])
 
 
 @query
 def report_anomalies(spark: SparkSession, folder: str) -> DataFrame:
-    s = fx.star(spark, folder)
+    s = fx.star(spark, folder, _FACT, "dim_product", "dim_category")
     return reports.anomalies(s[_FACT], s["dim_product"], s["dim_category"])
 
 
 @query
 def report_weekly_completeness(spark: SparkSession, folder: str) -> DataFrame:
-    s = fx.star(spark, folder)
+    s = fx.star(spark, folder, _FACT, "dim_time")
     return reports.weekly_completeness(s[_FACT], s["dim_time"])
 
 
 @query
 def report_weekly_completeness_iso_year(spark: SparkSession, folder: str) -> DataFrame:
-    s = fx.star(spark, folder)
+    s = fx.star(spark, folder, _FACT, "dim_time")
     return reports.weekly_completeness(s[_FACT], s["dim_time"], "iso_year")
 
 
 @query
 def report_least_complete_categories(spark: SparkSession, folder: str) -> DataFrame:
-    s = fx.star(spark, folder)
+    s = fx.star(spark, folder, _FACT, "dim_product", "dim_category")
     return reports.least_complete_categories(s[_FACT], s["dim_product"], s["dim_category"])
 
 

@@ -5,24 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from larder.functions.text import NOISE_VALUES, normalise
+from larder.functions.text import NOISE_ITEM
 
 
-def tag_items(c: Column) -> Column:
-    """Split on comma or semicolon and normalise each item; empty items are still there."""
-    return F.transform(F.split(F.translate(c, ";", ","), ","), normalise)
+def tag_items(text: Column) -> Column:
+    """Items between commas or semicolons of normalised text; empty items are still there.
+
+    Normalised text has at most one blank on either side of a separator. With those gone, the items
+    need no work of their own.
+    """
+    commas = F.translate(text, ";", ",")
+    tight = F.replace(F.replace(commas, F.lit(", "), F.lit(",")), F.lit(" ,"), F.lit(","))
+    return F.split(tight, ",")
 
 
 def is_meaningful(item: Column) -> Column:
-    return (F.length(item) > 1) & ~item.rlike("^[0-9]+$") & ~item.isin(*NOISE_VALUES)
+    return (F.length(item) > 1) & ~item.rlike(NOISE_ITEM)
 
 
 def meaningful_items(items: Column) -> Column:
     return F.filter(items, is_meaningful)
 
 
-def clean_tags(c: Column) -> Column:
-    return meaningful_items(tag_items(c))
+def clean_tags(text: Column) -> Column:
+    return meaningful_items(tag_items(text))
 
 
 def tag_source(tags: Column, text: Column) -> Column:

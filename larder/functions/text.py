@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 from functools import lru_cache
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 # Entries that mean "nothing was filled in".
 NOISE_VALUES = ("0", "none", "unknown", "sans marque", "sans_marque", "n/a", "na", "-", "_", "?")
 
+# A list item that says nothing: noise, or digits only.
+NOISE_ITEM = "^(?:[0-9]+|" + "|".join(re.escape(value) for value in NOISE_VALUES) + ")$"
+
 # White space in the Unicode sense, plus the four ASCII separators.
 _BLANK = r"[\s\x1c-\x1f\x85\p{Z}]"
 
@@ -66,24 +70,24 @@ def strip_accents(c: Column) -> Column:
 
 def canonical(c: Column) -> Column:
     """Comparable form: lower case, no accents, letters and digits separated by single blanks."""
-    return F.trim(F.regexp_replace(strip_accents(F.lower(c)), r"[^\p{L}\p{N}]+", " "))
+    return F.trim(F.regexp_replace(F.lower(strip_accents(c)), r"[^\p{L}\p{N}]+", " "))
 
 
 @lru_cache(maxsize=1)
-def _digits_pattern() -> str:
-    extra = [
+def _noise_pattern() -> str:
+    """Noise, digits of any script, or at most one character, whatever blanks are around it."""
+    digits = "".join(
         chr(point)
         for point in range(sys.maxunicode + 1)
         if chr(point).isdigit() and unicodedata.category(chr(point)) != "Nd"
-    ]
-    return r"^[\p{Nd}" + "".join(extra) + "]+$"
+    )
+    noise = "|".join(re.escape(value) for value in NOISE_VALUES)
+    return rf"(?isu)^{_BLANK}*(?:{noise}|[\p{{Nd}}{digits}]+|.?){_BLANK}*$"
 
 
 def noise_to_null(c: Column) -> Column:
     """Stripped lower-case text, or NULL for noise, digits only, and single characters."""
-    text = F.lower(strip_blanks(c))
-    noise = text.isin(*NOISE_VALUES) | text.rlike(_digits_pattern()) | (F.length(text) <= 1)
-    return F.when(~noise, text)
+    return F.when(~c.rlike(_noise_pattern()), F.lower(strip_blanks(c)))
 
 
 def preferred_name(french: Column, generic: Column, english: Column) -> Column:

@@ -27,6 +27,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     Values that do not fit the type become NULL, and so do missing columns.
     """
     have = {field.name: field.dataType for field in df.schema.fields}
+    if list(have.items()) == [(field.name, field.dataType) for field in schema.fields]:
+        return df
 
     def column(field: T.StructField):
         if field.name not in have:

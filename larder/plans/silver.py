@@ -50,9 +50,9 @@ def with_names(df: DataFrame) -> DataFrame:
 
 
 def with_tags(df: DataFrame) -> DataFrame:
-    """Brand, category and country lists with their first element."""
-    categories = G.tag_source(_column(df, "categories_tags"), _column(df, "categories"))
-    countries = G.tag_source(_column(df, "countries_tags"), _column(df, "countries"))
+    """Brand, category and country lists with their first element, from normalised brands."""
+    categories = X.normalise(G.tag_source(_column(df, "categories_tags"), _column(df, "categories")))
+    countries = X.normalise(G.tag_source(_column(df, "countries_tags"), _column(df, "countries")))
     df = df.withColumns(
         {
             "brands_arr": G.tag_items(_column(df, "brands")),

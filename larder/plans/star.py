@@ -9,6 +9,8 @@ execution splits its partition, and a dimension measured as small is broadcast.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,34 +26,45 @@ from larder.schemas import (
     DIM_PRODUCT,
     DIM_TIME,
     FACT_NUTRITION_SNAPSHOT,
+    GOLD,
     SILVER,
 )
 
 
-def brand_name() -> Column:
-    return X.canonical(X.noise_to_null(F.col("brand_primary")))
+def category_codes() -> Column:
+    """All categories of a product in canonical form, each once."""
+    codes = F.transform(F.col("categories_codes"), X.canonical)
+    return F.filter(F.array_distinct(codes), X.is_filled)
 
 
-def category_code() -> Column:
-    return X.canonical(F.col("primary_category_code"))
+def _with_brand_name(rows: DataFrame) -> DataFrame:
+    # One step per column: an expression used several times by the next one is then computed once.
+    kept = rows.withColumn("brand_name", X.noise_to_null(F.col("brand_primary")))
+    named = kept.withColumn("brand_name", X.canonical(F.col("brand_name")))
+    return named.withColumn("brand_name", X.blank_to_null(F.col("brand_name")))
 
 
-def country_code() -> Column:
-    return X.canonical(F.col("country_primary_code"))
+def _with_category_code(rows: DataFrame) -> DataFrame:
+    coded = rows.withColumn("category_code", X.canonical(F.col("primary_category_code")))
+    return coded.withColumn("category_code", X.blank_to_null(F.col("category_code")))
 
 
-def category_codes() -> Column:
-    """All categories of a product in canonical form, each once."""
-    codes = F.transform(F.col("categories_codes"), X.canonical)
-    return F.filter(F.array_distinct(codes), X.is_filled)
-
+def _with_country_code(rows: DataFrame) -> DataFrame:
+    coded = rows.withColumn("country_code", X.canonical(F.col("country_primary_code")))
+    return coded.withColumn("country_code", X.blank_to_null(F.col("country_code")))
 
-def _filled(c: Column) -> Column:
-    return F.when(X.is_filled(c), c)
 
+def _distinct_values(
+    silver: DataFrame, raw: Column, make: Callable[[DataFrame], DataFrame], name: str
+) -> DataFrame:
+    """Distinct canonical values: distinct as stored first, so each spelling is treated once.
 
-def _distinct_filled(silver: DataFrame, c: Column, name: str) -> DataFrame:
-    return distinct_keys(conform(silver, SILVER), c.alias(name)).where(X.is_filled(F.col(name)))
+    NULL is dropped by its count. A filter on the value itself would be pushed below the first
+    distinct and compute the canonical form of every row there.
+    """
+    spellings = distinct_keys(conform(silver, SILVER), raw)
+    values = make(spellings).groupBy(name).agg(F.count(name).alias("spellings"))
+    return values.where(F.col("spellings") > 0).select(name)
 
 
 def dim_time(silver: DataFrame) -> DataFrame:
@@ -71,7 +84,7 @@ def dim_time(silver: DataFrame) -> DataFrame:
 
 
 def dim_brand(silver: DataFrame) -> DataFrame:
-    names = _distinct_filled(silver, brand_name(), "brand_name")
+    names = _distinct_values(silver, F.col("brand_primary"), _with_brand_name, "brand_name")
     return conform(names.withColumn("brand_sk", K.surrogate_key(F.col("brand_name"))), DIM_BRAND)
 
 
@@ -79,13 +92,15 @@ def dim_category(silver: DataFrame, categories: str = "primary") -> DataFrame:
     """Categories that are some product's first one, or all that occur."""
     if categories not in ("primary", "all"):
         raise ValueError(f"unknown category choice: {categories}")
-    code = category_code() if categories == "primary" else F.explode(category_codes())
-    codes = _distinct_filled(silver, code, "category_code")
+    raw = F.col("primary_category_code")
+    if categories == "all":
+        raw = F.explode("categories_codes").alias("primary_category_code")
+    codes = _distinct_values(silver, raw, _with_category_code, "category_code")
     return conform(codes.withColumn("category_sk", K.surrogate_key(F.col("category_code"))), DIM_CATEGORY)
 
 
 def dim_country(silver: DataFrame) -> DataFrame:
-    codes = _distinct_filled(silver, country_code(), "country_code")
+    codes = _distinct_values(silver, F.col("country_primary_code"), _with_country_code, "country_code")
     return conform(codes.withColumn("country_sk", K.surrogate_key(F.col("country_code"))), DIM_COUNTRY)
 
 
@@ -94,12 +109,12 @@ def dim_product(
 ) -> DataFrame:
     """One row per silver row with a code; the silver table holds each code once."""
     rows = conform(silver, SILVER).where(X.is_filled(F.col("code")))
-    rows = rows.select(
+    rows = _with_category_code(_with_brand_name(rows)).select(
         K.surrogate_key(F.col("code")).alias("product_sk"),
         "code",
         F.col("product_name_pref").alias("product_name"),
-        _filled(brand_name()).alias("brand_name"),
-        _filled(category_code()).alias("category_code"),
+        "brand_name",
+        "category_code",
         F.to_json("countries_codes").alias("countries_multi"),
         F.col("event_date").cast("timestamp").alias("effective_from"),
         F.lit(K.OPEN_END).cast("timestamp").alias("effective_to"),
@@ -154,7 +169,7 @@ def fact_rows(
     """Every silver row in the layout of the fact; keys that cannot be resolved are NULL."""
     rows = plain_names(conform(silver, SILVER))
     if product is None:
-        rows = rows.withColumn("product_sk", K.surrogate_key(_filled(F.col("code"))))
+        rows = rows.withColumn("product_sk", K.surrogate_key(X.blank_to_null(F.col("code"))))
     else:
         rows = rows.join(product.select("code", "product_sk"), "code", "left")
     if time is None:
@@ -173,20 +188,24 @@ def fact_nutrition_snapshot(
 
 
 def build_star(
-    products: DataFrame, snapshots: DataFrame | None = None, categories: str = "primary"
+    products: DataFrame,
+    snapshots: DataFrame | None = None,
+    categories: str = "primary",
+    names: Iterable[str] = GOLD,
 ) -> dict[str, DataFrame]:
-    """All gold tables by name, parents first.
+    """Gold tables by name, parents first; all of them unless ``names`` says otherwise.
 
     ``products`` holds one row per code. ``snapshots`` may hold several dates per code and defaults
     to the same rows.
     """
     snapshots = products if snapshots is None else snapshots
-    return {
-        "dim_time": dim_time(snapshots),
-        "dim_brand": dim_brand(products),
-        "dim_category": dim_category(products, categories),
-        "dim_country": dim_country(products),
-        "dim_product": dim_product(products),
-        "bridge_product_category": bridge_product_category(products, categories=categories),
-        "fact_nutrition_snapshot": fact_nutrition_snapshot(snapshots),
+    makers = {
+        "dim_time": lambda: dim_time(snapshots),
+        "dim_brand": lambda: dim_brand(products),
+        "dim_category": lambda: dim_category(products, categories),
+        "dim_country": lambda: dim_country(products),
+        "dim_product": lambda: dim_product(products),
+        "bridge_product_category": lambda: bridge_product_category(products, categories=categories),
+        "fact_nutrition_snapshot": lambda: fact_nutrition_snapshot(snapshots),
     }
+    return {name: makers[name]() for name in names}
