@@ -47,16 +47,16 @@ def _accent_map() -> tuple[str, str]:
     """Letters that reduce to one base letter, followed by the marks to delete.
 
     ``translate`` pairs characters by position and deletes those left without a partner, so the
-    marks go last. Characters that reduce to several (composed Hangul) stay whole.
+    marks go last. Letters that decompose into several (Hangul syllables, a few Indic vowels) stay
+    whole, which makes the better key.
     """
     letters, bases, marks = [], [], []
     for point in range(sys.maxunicode + 1):
         char = chr(point)
-        if unicodedata.combining(char):
-            marks.append(char)
-            continue
         base = [x for x in unicodedata.normalize("NFD", char) if not unicodedata.combining(x)]
-        if len(base) == 1 and base[0] != char:
+        if not base:
+            marks.append(char)
+        elif len(base) == 1 and base[0] != char:
             letters.append(char)
             bases.append(base[0])
     return "".join(letters + marks), "".join(bases)

@@ -1,0 +1,293 @@
+"""Gold tables, incremental loads, reports and audits on small rows."""
+
+import datetime as dt
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from larder.operators import audit
+from larder.operators.append import append_no_dupe, unseen_rows
+from larder.operators.columns import conform
+from larder.plans import jobs, reports
+from larder.plans import star as S
+from larder.schemas import FACT_NUTRITION_SNAPSHOT, GOLD, LOAD_KEYS, SILVER
+from larder.sources.tables import JdbcTable, ParquetTable
+
+NAMES = "code product_name_pref brand_primary categories_codes countries_codes event_date sugars_100g nutriscore_grade completeness_score".split()
+D1, D2 = dt.date(2024, 12, 30), dt.date(2025, 6, 15)
+ROWS = [
+    ("1", "Pain", "Crème Co", ["breads", "Bread's"], ["fr", "es"], D1, 90.0, "a", 1.0),
+    ("2", None, "creme co", ["cookies"], ["fr"], D2, 10.0, "e", 0.5),
+    ("3", "Eau", "n/a", [], None, D2, None, "unknown", 0.1),
+    ("4", "X", None, None, [], D2, 85.0, None, None),
+    ("", "no code", "b1", ["aa"], ["fr"], D1, 1.0, "a", 1.0),
+    (None, "no code", "b2", ["aa"], ["fr"], D1, 1.0, "a", 1.0),
+]
+
+
+@pytest.fixture(scope="module")
+def silver(spark):
+    kinds = "code string, product_name_pref string, brand_primary string, categories_codes array<string>, countries_codes array<string>, event_date date, sugars_100g double, nutriscore_grade string, completeness_score double"
+    df = spark.createDataFrame(ROWS, kinds)
+    df = df.withColumns(
+        {
+            "primary_category_code": F.get("categories_codes", F.lit(0)),
+            "country_primary_code": F.get("countries_codes", F.lit(0)),
+        }
+    )
+    return conform(df, SILVER).cache()
+
+
+@pytest.fixture(scope="module")
+def star(silver):
+    return S.build_star(silver)
+
+
+def values(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+def test_layouts(star):
+    for name, df in star.items():
+        assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in GOLD[name]], name
+
+
+def test_dimensions(star):
+    assert values(star["dim_brand"], "brand_name") == [("b1",), ("b2",), ("creme co",)]
+    assert values(star["dim_category"], "category_code") == [("aa",), ("breads",), ("cookies",)]
+    assert values(star["dim_country"], "country_code") == [("fr",)]
+    assert values(star["dim_time"], "time_sk", "year", "iso_week", "week", "iso_year") == [
+        (20241230, 2024, 1, 1, 2025),
+        (20250615, 2025, 24, 24, 2025),
+    ]
+
+
+def test_products(star):
+    rows = {r["code"]: r for r in star["dim_product"].collect()}
+    assert sorted(rows) == ["1", "2", "3", "4"]
+    assert rows["1"]["brand_sk"] == rows["2"]["brand_sk"] is not None
+    assert rows["3"]["brand_sk"] is None and rows["3"]["primary_category_sk"] is None
+    assert rows["1"]["countries_multi"] == '["fr","es"]' and rows["3"]["countries_multi"] is None
+    assert rows["1"]["effective_from"] == dt.datetime(2024, 12, 30)
+    assert rows["1"]["is_current"] == 1
+
+
+def test_derived_keys_equal_looked_up_keys(star, silver):
+    looked_up = S.dim_product(silver, star["dim_brand"], star["dim_category"])
+    assert values(looked_up, "code", "brand_sk", "primary_category_sk") == values(
+        star["dim_product"], "code", "brand_sk", "primary_category_sk"
+    )
+    fact = S.fact_nutrition_snapshot(silver, star["dim_product"], star["dim_time"])
+    assert values(fact, "product_sk", "time_sk") == values(star["fact_nutrition_snapshot"], "product_sk", "time_sk")
+    none_known = S.dim_product(silver, star["dim_brand"].where("1 = 0"))
+    assert none_known.where("brand_sk is not null").count() == 0
+
+
+def test_bridge(star, silver):
+    def named(bridge, categories):
+        joined = bridge.join(star["dim_product"], "product_sk").join(categories, "category_sk")
+        return values(joined, "code", "category_code")
+
+    assert named(star["bridge_product_category"], star["dim_category"]) == [("1", "breads"), ("2", "cookies")]
+    every = S.bridge_product_category(silver, categories="all")
+    assert named(every, S.dim_category(silver, "all")) == [("1", "bread s"), ("1", "breads"), ("2", "cookies")]
+    only = S.bridge_product_category(silver, product=star["dim_product"].where("code = '2'"))
+    assert named(only, star["dim_category"]) == [("2", "cookies")]
+    with pytest.raises(ValueError):
+        S.dim_category(silver, "some")
+
+
+def test_fact_and_unresolved(star, silver):
+    assert star["fact_nutrition_snapshot"].count() == 4
+    assert tuple(jobs.unresolved_facts(silver).first()) == (2, 0)
+
+
+def test_star_is_sound(star):
+    report = audit.star_violations(star)
+    assert report.where("violations <> 0").count() == 0
+    assert report.count() == 49
+
+
+def test_audits_find_what_is_wrong(spark, star):
+    time = star["dim_time"]
+    assert values(audit.duplicate_keys(time.unionAll(time), ["time_sk"]), "time_sk", "n") == [
+        (20241230, 2),
+        (20250615, 2),
+    ]
+    broken = {**star, "dim_brand": star["dim_brand"].where("brand_name <> 'creme co'")}
+    found = audit.star_violations(broken).where("violations <> 0")
+    assert values(found, "check", "table_name", "columns", "violations") == [
+        ("foreign key", "dim_product", "brand_sk", 2)
+    ]
+    df = spark.createDataFrame([("a", 1.0), (None, 200.0), ("long", None)], "s string, x double")
+    assert values(audit.null_counts(df, ["s", "x"]), "column_name", "n_null") == [("s", 1), ("x", 1)]
+    assert values(audit.out_of_bounds_counts(df, {"x": (0, 100)}), "column_name", "n_outside") == [("x", 1)]
+    assert values(audit.too_long_counts(df, {"s": 3}), "column_name", "n_too_long") == [("s", 1)]
+    spans = spark.createDataFrame([(1, 2), (2, 2), (3, 2), (None, 2)], "effective_from int, effective_to int")
+    assert audit.bad_intervals(spans).count() == 2
+    counts = values(audit.table_counts(star), "table_name", "n")
+    assert dict(counts)["dim_product"] == 4
+
+
+# --- loads --------------------------------------------------------------------------------------
+
+
+def test_loading_twice_adds_nothing(spark, star, tmp_path):
+    target = jobs.parquet_tables(str(tmp_path))
+    first = jobs.load_star(star, target)
+    assert {n: r.inserted for n, r in first.items()} == {n: df.count() for n, df in star.items()}
+    assert list(first) == list(GOLD)
+    again = jobs.load_star(star, target)
+    assert all(r.inserted == 0 and r.rejected == 0 for r in again.values())
+    stored = jobs.stored_star(spark, str(tmp_path))
+    for name, df in star.items():
+        assert stored[name].exceptAll(df).count() == 0 and df.exceptAll(stored[name]).count() == 0
+
+
+def test_gold_job_from_stored_silver(spark, silver, tmp_path):
+    silver.write.parquet(str(tmp_path / "silver"))
+    loaded = jobs.run_gold(spark, str(tmp_path / "silver"), jobs.parquet_tables(str(tmp_path / "gold")))
+    assert loaded["fact_nutrition_snapshot"].inserted == 4
+    more = jobs.run_gold(spark, str(tmp_path / "silver"), jobs.parquet_tables(str(tmp_path / "gold")), "all")
+    assert more["dim_category"].inserted == 1 and more["bridge_product_category"].inserted == 1
+
+
+def test_null_keys_are_counted_and_rejected(spark, tmp_path):
+    table = ParquetTable(str(tmp_path / "t"), spark.createDataFrame([], "k int, v int").schema)
+    rows = spark.createDataFrame([(1, 1), (1, 1), (None, 2), (None, 3)], "k int, v int")
+    result = append_no_dupe(rows, table, ["k"])
+    assert (result.inserted, result.rejected) == (1, 2)
+    assert [tuple(r) for r in table.read(spark).collect()] == [(1, 1)]
+
+
+def test_unseen_rows(spark):
+    new = spark.createDataFrame([(1, 1), (2, 1), (2, 2), (None, 1)], "a int, b int")
+    old = spark.createDataFrame([(2, 1)], "a int, b int")
+    assert values(unseen_rows(new, old, ["a", "b"]), "a", "b") == [(1, 1), (2, 2)]
+    assert values(unseen_rows(new, None, ["a", "b"]), "a", "b") == [(1, 1), (2, 1), (2, 2)]
+
+
+def test_only_a_missing_table_counts_as_empty(spark, tmp_path):
+    schema = GOLD["dim_brand"]
+    assert ParquetTable(str(tmp_path / "none"), schema).read_keys(spark, ["brand_name"]) is None
+    spark.range(3).write.parquet(str(tmp_path / "there"))
+    with pytest.raises(AnalysisException):
+        ParquetTable(str(tmp_path / "there"), schema).read_keys(spark, ["no_such_column"])
+
+
+def test_jdbc_options():
+    """Options only: no database is available to write to."""
+    target = jobs.jdbc_tables({"url": "jdbc:x", "user": "u"}, writers=3)("bridge_product_category")
+    assert isinstance(target, JdbcTable) and target.key_columns == ("product_sk", "category_sk")
+    options = target.options()
+    assert options["dbtable"] == "bridge_product_category" and options["numPartitions"] == "3"
+    assert options["batchsize"] == "500" and options["isolationLevel"] == "READ_COMMITTED"
+    assert JdbcTable("t", GOLD["dim_time"], {}, first_load=True).read_keys(None, ["time_sk"]) is None
+
+
+# --- reports ------------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def sales(spark):
+    """A hot product, a hot brand, an unknown category and a noise brand."""
+    brand = spark.createDataFrame([(1, "hot"), (2, "cold"), (3, "unknown")], "brand_sk long, brand_name string")
+    category = spark.createDataFrame([(1, "breads"), (2, "unknown")], "category_sk long, category_code string")
+    product = spark.createDataFrame(
+        [(1, "p1", None, 1, 1, '["fr","es",""]'), (2, "p2", "two", 2, None, "bad"), (3, "p3", "three", 3, 2, '["fr"]')],
+        "product_sk long, code string, product_name string, brand_sk long, primary_category_sk long, countries_multi string",
+    )
+    days = [20240101 + i for i in range(28)]
+    facts = [(1, d, "ab"[i % 2], float(i), 0.5) for i, d in enumerate(days)]
+    facts += [(2, d, "ae"[i % 2], 90.0, 1.0) for i, d in enumerate(days)]
+    facts += [(3, d, "a", None, None) for d in days]
+    fact = spark.createDataFrame(
+        facts, "product_sk long, time_sk int, nutriscore_grade string, sugars_100g double, completeness_score double"
+    )
+    return conform(fact, FACT_NUTRITION_SNAPSHOT), product, brand, category
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_brand_reports(sales):
+    fact, product, brand, _ = sales
+    assert rows(reports.top_brands_by_grade(fact, product, brand)) == [
+        ("hot", 28, 28, 100.0),
+        ("cold", 14, 28, 50.0),
+    ]
+    assert rows(reports.top_brands_by_grade(fact, product, brand, k=1)) == [("hot", 28, 28, 100.0)]
+    assert rows(reports.top_brands_by_grade(fact, product, brand, min_rows=29)) == []
+    assert rows(reports.completeness_by_brand(fact, product, brand)) == [("cold", 1.0, 28), ("hot", 0.5, 28)]
+
+
+def test_category_reports(sales):
+    fact, product, _, category = sales
+    assert rows(reports.grade_by_category(fact, product, category)) == [("breads", "a", 14), ("breads", "b", 14)]
+    assert rows(reports.sugar_by_category_and_country(fact, product, category)) == [
+        ("breads", "es", 13.5, 28),
+        ("breads", "fr", 13.5, 28),
+    ]
+    assert rows(reports.least_complete_categories(fact, product, category, min_rows=1)) == [
+        ("breads", 0.5, 28),
+        ("inconnu", 1.0, 28),
+    ]
+    assert rows(reports.least_complete_categories(fact, product, category)) == []
+
+
+def test_anomalies(sales):
+    fact, product, _, category = sales
+    found = rows(reports.anomalies(fact, product, category))
+    assert found == [("p2", "two", "inconnu", None, 90.0)] * 28
+
+
+def test_weekly(sales, spark):
+    time = S.dim_time(
+        conform(
+            spark.range(28).select(F.expr("date_add(date'2024-01-01', cast(id as int))").alias("event_date")), SILVER
+        )
+    )
+    found = rows(reports.weekly_completeness(sales[0], time, min_rows=14))
+    assert found == [(2024, week, 0.75, 14) for week in (1, 2, 3, 4)]
+    assert reports.weekly_completeness(sales[0], time, "iso_year", 14).columns[0] == "iso_year"
+
+
+
+
+def test_reports_aggregate_before_joining(sales):
+    """The fact is aggregated per product under the join, so no join key repeats."""
+    fact, product, brand, _ = sales
+    plan = reports.completeness_by_brand(fact, product, brand)._jdf.queryExecution().optimizedPlan().toString()
+    join = plan.index("Join Inner, (product_sk")
+    assert "Aggregate [product_sk" in plan[join:]
+
+
+def test_hot_lookup_key_is_split(spark):
+    """A third of all rows with one key: adaptive execution splits that partition of the join."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    session = spark.newSession()
+    for key, value in settings.items():
+        session.conf.set(key, value)
+    code = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("c"), F.col("id") % 500))
+    rows = session.range(0, 90000, 1, 8).select(
+        F.col("id").cast("string").alias("code"),
+        F.array(code).alias("categories_codes"),
+        code.alias("primary_category_code"),
+    )
+    silver = conform(rows, SILVER)
+    products = S.dim_product(silver, category=S.dim_category(silver))
+    found = products.collect()
+    assert len(found) == 90000 and all(r["primary_category_sk"] is not None for r in found)
+    assert "skew=true" in products._jdf.queryExecution().executedPlan().toString()
+    bridge = S.bridge_product_category(silver)
+    assert len(bridge.collect()) == 90000
+    assert "skew=true" in bridge._jdf.queryExecution().executedPlan().toString()
