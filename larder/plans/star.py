@@ -55,16 +55,17 @@ def _with_country_code(rows: DataFrame) -> DataFrame:
 
 
 def _distinct_values(
-    silver: DataFrame, raw: Column, make: Callable[[DataFrame], DataFrame], name: str
+    silver: DataFrame, column: str, make: Callable[[DataFrame], DataFrame], name: str, raw: Column | None = None
 ) -> DataFrame:
     """Distinct canonical values: distinct as stored first, so each spelling is treated once.
 
-    NULL is dropped by its count. A filter on the value itself would be pushed below the first
-    distinct and compute the canonical form of every row there.
+    The value is tied to its number of uses. Without that tie, a later filter on the canonical form
+    would be pushed below the first aggregate and compute it for every row there.
     """
-    spellings = distinct_keys(conform(silver, SILVER), raw)
-    values = make(spellings).groupBy(name).agg(F.count(name).alias("spellings"))
-    return values.where(F.col("spellings") > 0).select(name)
+    values = conform(silver, SILVER).select((F.col(column) if raw is None else raw).alias(column))
+    spellings = values.groupBy(column).agg(F.count(F.lit(1)).alias("uses"))
+    tied = spellings.withColumn(column, F.when(F.col("uses") > 0, F.col(column)))
+    return distinct_keys(make(tied), F.col(name)).where(F.col(name).isNotNull())
 
 
 def dim_time(silver: DataFrame) -> DataFrame:
@@ -84,7 +85,7 @@ def dim_time(silver: DataFrame) -> DataFrame:
 
 
 def dim_brand(silver: DataFrame) -> DataFrame:
-    names = _distinct_values(silver, F.col("brand_primary"), _with_brand_name, "brand_name")
+    names = _distinct_values(silver, "brand_primary", _with_brand_name, "brand_name")
     return conform(names.withColumn("brand_sk", K.surrogate_key(F.col("brand_name"))), DIM_BRAND)
 
 
@@ -92,15 +93,13 @@ def dim_category(silver: DataFrame, categories: str = "primary") -> DataFrame:
     """Categories that are some product's first one, or all that occur."""
     if categories not in ("primary", "all"):
         raise ValueError(f"unknown category choice: {categories}")
-    raw = F.col("primary_category_code")
-    if categories == "all":
-        raw = F.explode("categories_codes").alias("primary_category_code")
-    codes = _distinct_values(silver, raw, _with_category_code, "category_code")
+    raw = F.explode("categories_codes") if categories == "all" else None
+    codes = _distinct_values(silver, "primary_category_code", _with_category_code, "category_code", raw)
     return conform(codes.withColumn("category_sk", K.surrogate_key(F.col("category_code"))), DIM_CATEGORY)
 
 
 def dim_country(silver: DataFrame) -> DataFrame:
-    codes = _distinct_values(silver, F.col("country_primary_code"), _with_country_code, "country_code")
+    codes = _distinct_values(silver, "country_primary_code", _with_country_code, "country_code")
     return conform(codes.withColumn("country_sk", K.surrogate_key(F.col("country_code"))), DIM_COUNTRY)
 
 

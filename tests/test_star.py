@@ -264,7 +264,7 @@ def test_reports_aggregate_before_joining(sales):
     assert "Aggregate [product_sk" in plan[join:]
 
 
-def test_hot_lookup_key_is_split(spark):
+def test_hot_lookup_key_is_split(spark, tmp_path):
     """A third of all rows with one key: adaptive execution splits that partition of the join."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -284,7 +284,8 @@ def test_hot_lookup_key_is_split(spark):
         code.alias("primary_category_code"),
     )
     silver = conform(rows, SILVER)
-    products = S.dim_product(silver, category=S.dim_category(silver))
+    S.dim_category(silver).write.parquet(str(tmp_path / "dim_category"))
+    products = S.dim_product(silver, category=session.read.parquet(str(tmp_path / "dim_category")))
     found = products.collect()
     assert len(found) == 90000 and all(r["primary_category_sk"] is not None for r in found)
     assert "skew=true" in products._jdf.queryExecution().executedPlan().toString()
