@@ -1,34 +1,35 @@
-"""Delimited tag text to clean lists."""
+"""Delimited tag text to clean lists.
+
+Lists are cleaned while they are still text, with one pattern per step: that runs in generated code,
+which a function applied to every element of an array does not.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from larder.functions.text import NOISE_ITEM
+from larder.functions.text import NOISE_PATTERN
+
+_ITEM_START = "(?<![^,])"
+# A whole item of at most one character, digits only, or a noise value, with its separator.
+_NOISE_ITEM = _ITEM_START + rf"(?:[^,]?|[0-9]+|{NOISE_PATTERN})(?:,|\z)"
+# lang:code, with whatever a second colon starts.
+_CODED_ITEM = _ITEM_START + "[^,:]*:([^,:]*)[^,]*"
 
 
-def tag_items(text: Column) -> Column:
-    """Items between commas or semicolons of normalised text; empty items are still there.
+def tag_text(text: Column) -> Column:
+    """Normalised text with plain commas between items.
 
     Normalised text has at most one blank on either side of a separator. With those gone, the items
-    need no work of their own.
+    need no trimming of their own.
     """
     commas = F.translate(text, ";", ",")
-    tight = F.replace(F.replace(commas, F.lit(", "), F.lit(",")), F.lit(" ,"), F.lit(","))
-    return F.split(tight, ",")
-
-
-def is_meaningful(item: Column) -> Column:
-    return (F.length(item) > 1) & ~item.rlike(NOISE_ITEM)
-
+    return F.replace(F.replace(commas, F.lit(", "), F.lit(",")), F.lit(" ,"), F.lit(","))
 
-def meaningful_items(items: Column) -> Column:
-    return F.filter(items, is_meaningful)
 
-
-def clean_tags(text: Column) -> Column:
-    return meaningful_items(tag_items(text))
+def drop_noise_items(tags: Column) -> Column:
+    return F.regexp_replace(tags, _NOISE_ITEM, "")
 
 
 def tag_source(tags: Column, text: Column) -> Column:
@@ -36,13 +37,17 @@ def tag_source(tags: Column, text: Column) -> Column:
     return F.coalesce(tags, text)
 
 
-def _code_of(item: Column) -> Column:
-    return F.when(F.contains(item, F.lit(":")), F.split_part(item, F.lit(":"), F.lit(2))).otherwise(item)
+def codes_only(tags: Column) -> Column:
+    """``lang:code`` becomes ``code``; results that are noise after that are dropped."""
+    return drop_noise_items(F.regexp_replace(tags, _CODED_ITEM, "$1"))
 
 
-def tag_codes(items: Column) -> Column:
-    """``lang:code`` becomes ``code``; results that are noise after that are dropped."""
-    return meaningful_items(F.transform(items, _code_of))
+def all_items(tags: Column) -> Column:
+    return F.split(tags, ",")
+
+
+def filled_items(tags: Column) -> Column:
+    return F.array_remove(all_items(tags), "")
 
 
 def first_item(items: Column) -> Column:

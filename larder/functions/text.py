@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 # Entries that mean "nothing was filled in".
 NOISE_VALUES = ("0", "none", "unknown", "sans marque", "sans_marque", "n/a", "na", "-", "_", "?")
 
-# A list item that says nothing: noise, or digits only.
-NOISE_ITEM = "^(?:[0-9]+|" + "|".join(re.escape(value) for value in NOISE_VALUES) + ")$"
+NOISE_PATTERN = "|".join(re.escape(value) for value in NOISE_VALUES)
 
 # White space in the Unicode sense, plus the four ASCII separators.
 _BLANK = r"[\s\x1c-\x1f\x85\p{Z}]"
@@ -81,8 +80,7 @@ def _noise_pattern() -> str:
         for point in range(sys.maxunicode + 1)
         if chr(point).isdigit() and unicodedata.category(chr(point)) != "Nd"
     )
-    noise = "|".join(re.escape(value) for value in NOISE_VALUES)
-    return rf"(?isu)^{_BLANK}*(?:{noise}|[\p{{Nd}}{digits}]+|.?){_BLANK}*$"
+    return rf"(?isu)^{_BLANK}*(?:{NOISE_PATTERN}|[\p{{Nd}}{digits}]+|.?){_BLANK}*$"
 
 
 def noise_to_null(c: Column) -> Column:

@@ -53,18 +53,23 @@ def with_tags(df: DataFrame) -> DataFrame:
     """Brand, category and country lists with their first element, from normalised brands."""
     categories = X.normalise(G.tag_source(_column(df, "categories_tags"), _column(df, "categories")))
     countries = X.normalise(G.tag_source(_column(df, "countries_tags"), _column(df, "countries")))
-    df = df.withColumns(
-        {
-            "brands_arr": G.tag_items(_column(df, "brands")),
-            "categories_arr": G.clean_tags(categories),
-            "countries_arr": G.clean_tags(countries),
-        }
+    # Each step is a column of its own, so the next one does not repeat its work.
+    texts = {
+        "__brands": G.tag_text(_column(df, "brands")),
+        "__categories": G.tag_text(categories),
+        "__countries": G.tag_text(countries),
+    }
+    df = df.withColumns(texts)
+    df = df.withColumns({"brands_arr": G.all_items(F.col("__brands"))}).withColumns(
+        {name: G.drop_noise_items(F.col(name)) for name in texts}
     )
     df = df.withColumns(
         {
-            "brands_clean_arr": G.meaningful_items(F.col("brands_arr")),
-            "categories_codes": G.tag_codes(F.col("categories_arr")),
-            "countries_codes": G.tag_codes(F.col("countries_arr")),
+            "brands_clean_arr": G.filled_items(F.col("__brands")),
+            "categories_arr": G.filled_items(F.col("__categories")),
+            "countries_arr": G.filled_items(F.col("__countries")),
+            "categories_codes": G.filled_items(G.codes_only(F.col("__categories"))),
+            "countries_codes": G.filled_items(G.codes_only(F.col("__countries"))),
         }
     )
     return df.withColumns(
@@ -73,7 +78,7 @@ def with_tags(df: DataFrame) -> DataFrame:
             "primary_category_code": G.first_item(F.col("categories_codes")),
             "country_primary_code": G.first_item(F.col("countries_codes")),
         }
-    )
+    ).drop(*texts)
 
 
 def with_nutrients(

@@ -1,6 +1,7 @@
 """Edge rows for the column expressions."""
 
 import datetime as dt
+import random
 import sys
 import unicodedata
 
@@ -85,7 +86,28 @@ def test_preferred_name(spark, names, expected):
 
 
 def tags(c):
-    return G.clean_tags(X.normalise(c))
+    return G.filled_items(G.drop_noise_items(G.tag_text(X.normalise(c))))
+
+
+def codes(c):
+    return G.filled_items(G.codes_only(G.drop_noise_items(G.tag_text(X.normalise(c)))))
+
+
+def cleaned(text):
+    """The same rules, item by item."""
+    noise = {"0", "none", "unknown", "sans marque", "sans_marque", "n/a", "na", "-", "_", "?"}
+    keep = lambda x: len(x) > 1 and not (x.isascii() and x.isdigit()) and x not in noise
+    items = [" ".join(x.split()).lower() for x in text.replace(";", ",").split(",")]
+    items = [x for x in items if keep(x)]
+    return items, [c for c in (x.split(":")[1] if ":" in x else x for x in items) if keep(c)]
+
+
+def test_lists_equal_item_by_item_rules(spark):
+    rng = random.Random(3)
+    parts = ["en", ":", ",", ";", " ", "a", "12", "n/a", "na", "none", "?", "été", "sans marque", "x y", ",", ":", "𝒳"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+    assert apply(spark, texts, tags) == [cleaned(t)[0] for t in texts]
+    assert apply(spark, texts, codes) == [cleaned(t)[1] for t in texts]
 
 
 def test_clean_tags(spark):
@@ -95,19 +117,19 @@ def test_clean_tags(spark):
 
 
 def test_tag_items_keep_empty_items(spark):
-    assert apply(spark, ["a, ;b"], lambda c: G.tag_items(X.normalise(c))) == [["a", "", "b"]]
+    assert apply(spark, ["a, ;b"], lambda c: G.all_items(G.tag_text(X.normalise(c)))) == [["a", "", "b"]]
 
 
 def test_items_equal_item_by_item_cleaning(spark):
     """Cleaning the whole text first gives the same items as cleaning each item."""
     values = [" A ,b  c;; d\t,\tE", ", ,", "a , , b", "x;y ;z; ", "  ", "ΑΣ,ΟΔΟΣ ; σ"]
     one_by_one = lambda c: F.transform(F.split(F.translate(c, ";", ","), ","), X.normalise)
-    assert apply(spark, values, lambda c: G.tag_items(X.normalise(c))) == apply(spark, values, one_by_one)
+    assert apply(spark, values, lambda c: G.all_items(G.tag_text(X.normalise(c)))) == apply(spark, values, one_by_one)
 
 
 def test_tag_codes(spark):
     values = ["en:bev:x,en:,en:b,plain,fr:77,en:none"]
-    assert apply(spark, values, lambda c: G.tag_codes(tags(c))) == [["bev", "plain"]]
+    assert apply(spark, values, codes) == [["bev", "plain"]]
 
 
 def test_first_item_of_nothing(spark):
