@@ -86,11 +86,11 @@ def test_preferred_name(spark, names, expected):
 
 
 def tags(c):
-    return G.filled_items(G.drop_noise_items(G.tag_text(X.normalise(c))))
+    return G.clean_tags(X.normalise(c))
 
 
 def codes(c):
-    return G.filled_items(G.codes_only(G.drop_noise_items(G.tag_text(X.normalise(c)))))
+    return G.tag_codes(tags(c))
 
 
 def cleaned(text):
@@ -117,14 +117,14 @@ def test_clean_tags(spark):
 
 
 def test_tag_items_keep_empty_items(spark):
-    assert apply(spark, ["a, ;b"], lambda c: G.all_items(G.tag_text(X.normalise(c)))) == [["a", "", "b"]]
+    assert apply(spark, ["a, ;b"], lambda c: G.tag_items(X.normalise(c))) == [["a", "", "b"]]
 
 
 def test_items_equal_item_by_item_cleaning(spark):
     """Cleaning the whole text first gives the same items as cleaning each item."""
     values = [" A ,b  c;; d\t,\tE", ", ,", "a , , b", "x;y ;z; ", "  ", "ΑΣ,ΟΔΟΣ ; σ"]
     one_by_one = lambda c: F.transform(F.split(F.translate(c, ";", ","), ","), X.normalise)
-    assert apply(spark, values, lambda c: G.all_items(G.tag_text(X.normalise(c)))) == apply(spark, values, one_by_one)
+    assert apply(spark, values, lambda c: G.tag_items(X.normalise(c))) == apply(spark, values, one_by_one)
 
 
 def test_tag_codes(spark):
