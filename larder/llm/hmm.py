@@ -128,6 +128,11 @@ def class_of(words: pa.Array, settings: Settings) -> np.ndarray:
     return (W.hashes(words, settings.seed) % np.uint64(settings.classes)).astype(np.int32)
 
 
+def listed(values: pa.Array) -> pa.ListArray:
+    """All values as one list."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
 def block_rows(settings: Settings):
     """Map function: documents to blocks with a word list of their own."""
 
@@ -148,12 +153,12 @@ def block_rows(settings: Settings):
             yield pa.RecordBatch.from_pydict(
                 {
                     "block": [partition << 32 | number],
-                    "keys": pa.array([rows.column("key")]),
-                    "held_out": pa.array([rows.column("held_out")]),
+                    "keys": listed(rows.column("key")),
+                    "held_out": listed(rows.column("held_out")),
                     "lengths": [lengths.astype(np.int32).tobytes()],
                     "codes": [codes.tobytes()],
                     "classes": [class_of(words, settings).tobytes()],
-                    "words": pa.array([words]),
+                    "words": listed(words),
                     "counts": [counts],
                 }
             )
@@ -319,11 +324,11 @@ def score_texts(docs: DataFrame, key: str, text: str, held_out: str, settings: S
         sums = dict(zip(found["class"].tolist(), found[columns].to_numpy()))
         model = next_model(model, sums, settings)
 
-    known = listed.select("block", "at", "word").join(counts, "word").select("block", "at", "count")
+    known = listed.select("block", "at", "word").join(counts, "word").select(F.col("block").alias("of"), "at", "count")
     result = (
         blocks.select("block", "keys", "held_out", "lengths", "codes", "classes")
         .groupBy("block")
-        .cogroup(known.groupBy("block"))
+        .cogroup(known.groupBy("of"))
         .applyInArrow(
             score_rows(model),
             T.StructType(

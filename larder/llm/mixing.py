@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from larder.llm.store import stored
+
 WORD = r"[^\x20\x09-\x0D]+"
 ONE = 1 << 32  # a copy, in the units in which expected copies are added up without rounding
 
@@ -51,9 +53,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
         F.coalesce(F.sum("cap").over(before), F.lit(0.0)).alias("capped"),
         F.coalesce(F.sum("weight").over(before), F.lit(0.0)).alias("served"),
     ).withColumn("level", (F.col("budget") - F.col("capped")) / (F.col("weights") - F.col("served")))
-    # The level rises while sources are capped and is lowest at the first that isn't.
-    open_level = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))).over(everything)
-    target = F.coalesce(F.least("cap", open_level * F.col("weight")), F.col("cap"))
+    # The level rises while sources are capped and falls behind the first that isn't: the highest is the one that holds.
+    target = F.least("cap", F.max("level").over(everything) * F.col("weight"))
     return rows.select("src", "has", "source_size", target.alias("target"))
 
 
@@ -93,7 +94,7 @@ def copies(
         *(F.col(c).alias(f"_carry_{i}") for i, c in enumerate(carry)),
     ).withColumn("bucket", F.substring("_order", 1, digits))
 
-    bucketed = base.groupBy("src", "has", "size", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    bucketed = stored(base.groupBy("src", "has", "size", "bucket").agg(F.count(F.lit(1)).alias("n")), "sizes")
     sized = bucketed.groupBy("src", "has", "size").agg(F.sum("n").alias("n"))
     by_size = W.partitionBy("src", "has").orderBy("size").rowsBetween(W.unboundedPreceding, -1)
     by_bucket = W.partitionBy("src", "has", "size").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)

@@ -14,14 +14,15 @@ from larder.llm import words as W
 class Settings:
     """``buckets``: rows of the vector table (a power of two), half for words and half for n-grams of
     ``shortest`` to ``longest`` bytes, counted with the marks of a word's begin and end. ``repeats``: the word
-    pair of two equal words counts too, and is one feature whatever the word."""
+    pair of two equal words counts too, and is one feature whatever the word. ``steps`` updates of ``batch`` texts each are
+    made, however many texts there are."""
 
     buckets: int = 1 << 19
     size: int = 4
     shortest: int = 3
     longest: int = 5
     classes: int = 2
-    epochs: int = 4
+    steps: int = 600
     batch: int = 32
     rate: float = 1.0
     repeats: bool = False
@@ -130,39 +131,56 @@ def train(texts: pa.Array, labels: np.ndarray, settings: Settings) -> Model:
     share = (times / whole[text]).astype(np.float32)
     edges = np.searchsorted(text, np.arange(len(labels) + 1))
 
-    # Squared gradients of a bucket so far: rare features, as in AdaGrad, go on with larger steps.
-    squares = np.full(settings.buckets, 1e-8, np.float32)
-    steps, step = settings.epochs * -(-len(labels) // settings.batch), 0
-    for _ in range(settings.epochs):
+    # Only buckets that occur in the sample are trained. Squared gradients so far: rare features, as in AdaGrad, go on
+    # with larger steps.
+    present, buckets = distinct(buckets, settings.buckets)
+    vectors = model.vectors[present]
+    squares = np.full(len(present), 1e-8, np.float32)
+    step = 0
+    while step < settings.steps:
         order = random.permutation(len(labels))
         for at in range(0, len(order), settings.batch):
+            if step == settings.steps:
+                break
             rows = order[at : at + settings.batch]
             counts = edges[rows + 1] - edges[rows]
             pick = spans(edges[rows], counts)
-            used, inverse = np.unique(word[pick], return_inverse=True)
+            used, inverse = distinct(word[pick], len(amounts))
             mix = np.zeros((len(rows), len(used)), np.float32)  # text x word
             mix[np.repeat(np.arange(len(rows)), counts), inverse] = share[pick]
             ids = buckets[spans(firsts[used], amounts[used])]
-            local, inside = np.unique(ids, return_inverse=True)
-            owner = np.repeat(np.arange(len(used)), amounts[used])
-            # Vectors of the batch's buckets, summed up per word, averaged per text.
-            vectors = model.vectors[local]
-            summed = np.add.reduceat(vectors[inside], np.cumsum(amounts[used]) - amounts[used], axis=0) if len(ids) else vectors
+            # Vectors summed up per word and averaged per text.
+            summed = sums(vectors[ids], np.concatenate([[0], np.cumsum(amounts[used])]))
             mean = mix @ summed
             wrong = softmax(mean @ model.output + model.bias) - targets[rows]
-            rate = settings.rate * (1 - step / steps)
+            rate = settings.rate * (1 - step / settings.steps)
             step += 1
-            slope = mix.T @ (wrong @ model.output.T)
-            total = np.stack(
-                [np.bincount(inside, slope[owner, k], len(local)) for k in range(settings.size)], axis=1
-            ).astype(np.float32)
+            slope = np.repeat((wrong @ model.output.T).T @ mix, amounts[used], axis=1)
+            touched, inverse = distinct(ids, len(present))
+            total = np.stack([np.bincount(inverse, one, len(touched)) for one in slope], axis=1).astype(np.float32)
             model.output -= rate * (mean.T @ wrong) / len(rows)
             model.bias -= rate * wrong.mean(axis=0)
-            squares[local] += (total**2).mean(axis=1)
-            model.vectors[local] = vectors - rate * total / np.sqrt(squares[local])[:, None]
+            squares[touched] += (total**2).mean(axis=1)
+            vectors[touched] -= rate * total / np.sqrt(squares[touched])[:, None]
+    model.vectors[present] = vectors
     return model
 
 
+def distinct(values: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, all below ``limit``, in order, and the place of each value among them."""
+    seen = np.zeros(limit, bool)
+    seen[values] = True
+    found = np.flatnonzero(seen)
+    place = np.empty(limit, np.int32)
+    place[found] = np.arange(len(found))
+    return found, place[values]
+
+
+def sums(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Sum of each stretch ``edges[i]:edges[i + 1]``; none is empty."""
+    return np.add.reduceat(values, edges[:-1], axis=0) if len(edges) > 1 else values[:0]
+
+
 def spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """All positions of the stretches that begin at ``starts`` and have ``counts`` entries."""
     before = np.cumsum(counts) - counts

@@ -62,7 +62,7 @@ def packed(ids: list, rows: list[np.ndarray], number: int) -> dict[str, list]:
     }
 
 
-PACKED = "block long, longest double, width int, ids binary, values binary"
+PACKED = "block long, longest double, width long, ids binary, values binary"
 
 
 def pack(rows_limit: int, bytes_limit: int, scale: float | None):
@@ -199,7 +199,7 @@ def top_k(
                 )
 
     ready = stored(
-        queries.mapInArrow(floors, "width int, ids binary, values binary, q long, floors binary, need double"), "queries"
+        queries.mapInArrow(floors, "width long, ids binary, values binary, q long, floors binary, need double"), "queries"
     )
     # Which blocks a block of queries must see, from their sizes alone; then both are brought together.
     pairs = ready.select("q", "need").join(blocks.select("block", "longest"), F.col("longest") >= F.col("need"))
