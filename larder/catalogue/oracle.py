@@ -476,9 +476,9 @@ oracle(
         f"""SELECT coalesce(category_code, 'inconnu') AS category, country_code,
   {_mean("sugars_100g", 2)} AS avg_sugars_100g, count(*) AS n
 FROM (
-  SELECT *, unnest(from_json(CASE WHEN json_valid(countries_multi) THEN countries_multi ELSE '[]' END,
-    '["VARCHAR"]')) AS country_code
+  SELECT *, unnest(json_extract_string(countries_multi, '$[*]')) AS country_code
   FROM fact JOIN dim_product USING (code)
+  WHERE json_type(try_cast(countries_multi AS JSON)) = 'ARRAY'
 )
 WHERE sugars_100g IS NOT NULL AND country_code <> ''
   AND coalesce(category_code, '') NOT IN {_in(NOISE_CATEGORIES)}
@@ -775,3 +775,22 @@ WHERE position = 1 OR nova_before IS DISTINCT FROM nova_group OR countries_befor
 )
 oracle("scd2_history", _HISTORY)
 oracle("scd2_extend", _HISTORY)
+
+# The stored jobs give what the tables built directly give.
+for _job, _direct in {
+    "gold_job_products": "dim_product",
+    "gold_job_bridge": "bridge_primary",
+    "gold_job_fact": "fact_snapshot",
+    "silver_job_metrics": "run_metrics",
+    "sources_csv": "union_of_sources",
+    "sources_json": "union_of_sources",
+    "sources_xml": "union_of_sources",
+}.items():
+    oracle(_job, ORACLE_SQL[_direct])
+oracle(
+    "load_counts",
+    f"""SELECT table_name, n AS inserted,
+  CASE WHEN table_name = 'fact_nutrition_snapshot'
+       THEN (SELECT without_product + without_date FROM ({ORACLE_SQL["unresolved_facts"]})) ELSE 0 END AS rejected
+FROM ({ORACLE_SQL["audit_counts"]})""",
+)

@@ -242,8 +242,9 @@ def bronze_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def sample_csv_view(spark: SparkSession, folder: str) -> DataFrame:
-    silver = fx.products(spark, folder)
-    sample = sinks.csv_sample(silver, "code", 200)
+    path = f"{scratch_folder(spark)}/products"
+    sinks.write_parquet(fx.products(spark, folder), path)
+    sample = sinks.csv_sample(readers.read_silver(spark, path), "code", 200)
     return plain_names(sample.withColumns({c: F.col(c).cast("string") for c in ("last_modified_ts", "event_date")}))
 
 
@@ -390,6 +391,53 @@ def append_idempotent(spark: SparkSession, folder: str) -> DataFrame:
     return _load_view(target.read(spark), fx.products(spark, folder))
 
 
+# --- stored jobs -------------------------------------------------------------------------------
+
+
+def _gold_job(spark: SparkSession, folder: str):
+    """Silver with several dates per code, stored, and the star loaded from it."""
+    scratch = scratch_folder(spark)
+    jobs.write_silver(fx.snapshots(spark, folder), f"{scratch}/silver")
+    results = jobs.run_gold(spark, f"{scratch}/silver/products", jobs.parquet_tables(f"{scratch}/gold"))
+    return results, jobs.stored_star(spark, f"{scratch}/gold")
+
+
+@query
+def gold_job_products(spark: SparkSession, folder: str) -> DataFrame:
+    _, s = _gold_job(spark, folder)
+    return _product_view(s["dim_product"], s["dim_brand"], s["dim_category"])
+
+
+@query
+def gold_job_bridge(spark: SparkSession, folder: str) -> DataFrame:
+    _, s = _gold_job(spark, folder)
+    return _bridge_view(s[_BRIDGE], s["dim_product"], s["dim_category"])
+
+
+@query
+def gold_job_fact(spark: SparkSession, folder: str) -> DataFrame:
+    _, s = _gold_job(spark, folder)
+    return _fact_view(s[_FACT], s["dim_product"])
+
+
+@query
+def load_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What the load reports for each table."""
+    results, _ = _gold_job(spark, folder)
+    rows = [(name, r.inserted, r.rejected) for name, r in results.items()]
+    return spark.createDataFrame(rows, "table_name string, inserted long, rejected long")
+
+
+@query
+def silver_job_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored metrics record of the silver job, read back."""
+    scratch = scratch_folder(spark)
+    jobs.write_silver(fx.products(spark, folder), scratch)
+    stored = spark.read.schema(jobs.METRICS).json(f"{scratch}/metrics")
+    metrics = audit.silver_checks(stored.drop("run_ts", "columns"))
+    return metrics.withColumn("avg_completeness_score", F.round("avg_completeness_score", 9))
+
+
 # --- reports ------------------------------------------------------------------------------------
 
 
@@ -523,19 +571,54 @@ PARTY = T.StructType(
 
 @query
 def union_of_sources(spark: SparkSession, folder: str) -> DataFrame:
-    customer = readers.as_source(
-        fx.table(spark, folder, "customer"),
-        "customer",
-        PARTY,
-        {"party_id": "c_custkey", "name": "c_name", "nation": "c_nationkey", "balance": "c_acctbal", "segment": "c_mktsegment"},
+    tables = {name: fx.table(spark, folder, name) for name in PARTY_NAMES}
+    return union_sources(*(readers.as_source(df, name, PARTY, PARTY_NAMES[name]) for name, df in tables.items()))
+
+
+PARTY_NAMES = {
+    "customer": {"party_id": "c_custkey", "name": "c_name", "nation": "c_nationkey", "balance": "c_acctbal", "segment": "c_mktsegment"},
+    "supplier": {"party_id": "s_suppkey", "name": "s_name", "nation": "s_nationkey", "balance": "s_acctbal"},
+}
+
+
+def _through_files(spark: SparkSession, folder: str, write, read) -> DataFrame:
+    """Both tables written in a format and read back under the contract."""
+    scratch, parts = scratch_folder(spark), []
+    for name, mapping in PARTY_NAMES.items():
+        rows = fx.table(spark, folder, name).select(*mapping.values())
+        write(rows, f"{scratch}/{name}")
+        parts.append(read(f"{scratch}/{name}", name, rows.schema, mapping))
+    return union_sources(*parts)
+
+
+@query
+def sources_csv(spark: SparkSession, folder: str) -> DataFrame:
+    return _through_files(
+        spark,
+        folder,
+        lambda rows, path: rows.write.options(header=True).csv(path),
+        lambda path, name, _, mapping: readers.read_csv_source(spark, path, name, PARTY, mapping),
+    )
+
+
+@query
+def sources_json(spark: SparkSession, folder: str) -> DataFrame:
+    return _through_files(
+        spark,
+        folder,
+        lambda rows, path: rows.write.json(path),
+        lambda path, name, layout, mapping: readers.read_json_source(spark, path, name, PARTY, layout, mapping),
     )
-    supplier = readers.as_source(
-        fx.table(spark, folder, "supplier"),
-        "supplier",
-        PARTY,
-        {"party_id": "s_suppkey", "name": "s_name", "nation": "s_nationkey", "balance": "s_acctbal"},
+
+
+@query
+def sources_xml(spark: SparkSession, folder: str) -> DataFrame:
+    return _through_files(
+        spark,
+        folder,
+        lambda rows, path: rows.write.options(rowTag="party", rootTag="parties").xml(path),
+        lambda path, name, layout, mapping: readers.read_xml_source(spark, path, name, PARTY, layout, "party", mapping),
     )
-    return union_sources(customer, supplier)
 
 
 @query
@@ -580,7 +663,8 @@ def scd2_extend(spark: SparkSession, folder: str) -> DataFrame:
     stored = history.version_history(
         rows.where(F.col("ship_date") < CUT), "code", "ship_date", HISTORY_ATTRIBUTES, tie_breakers=fx.TIE_BREAKERS
     )
-    late = keep_latest(
-        rows.where(F.col("ship_date") >= CUT), ["code", "ship_date"], F.col("ship_date"), fx.TIE_BREAKERS
+    late = rows.where(F.col("ship_date") >= CUT)
+    extended = history.extend_history(
+        stored, late, "code", "ship_date", HISTORY_ATTRIBUTES, tie_breakers=fx.TIE_BREAKERS
     )
-    return _history_view(history.extend_history(stored, late, "code", "ship_date", HISTORY_ATTRIBUTES))
+    return _history_view(extended)

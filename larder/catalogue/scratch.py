@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,7 +13,8 @@ def scratch_folder(spark: SparkSession) -> str:
     """A new path in the cluster's shared folder; local sessions without one use a temporary folder."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        # local-cluster has executors of its own.
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="larder-")
     return f"{shared.rstrip('/')}/larder-{uuid.uuid4().hex}"

@@ -27,7 +27,7 @@ _SUM = "__sum"
 
 
 def _sum(c: Column) -> Column:
-    return F.sum(c.cast("decimal(18,10)"))
+    return F.sum(c.cast("decimal(28,10)"))
 
 
 def _mean(digits: int) -> Column:
@@ -77,11 +77,16 @@ def top_brands_by_grade(
 def grade_by_category(fact: DataFrame, product: DataFrame, category: DataFrame) -> DataFrame:
     """Number of fact rows per primary category and grade."""
     graded = fact.where(F.col("nutriscore_grade").isin(*GRADES))
-    per_product = graded.groupBy("product_sk", "nutriscore_grade").agg(F.count(F.lit(1)).alias(_COUNT))
+    # A column per grade: the fact is grouped by the key that it is joined on next.
+    per_product = graded.groupBy("product_sk").agg(
+        *[F.count_if(F.col("nutriscore_grade") == grade).alias(grade) for grade in GRADES]
+    )
     per_category = (
         per_product.join(product.select("product_sk", "primary_category_sk"), "product_sk")
-        .groupBy("primary_category_sk", "nutriscore_grade")
-        .agg(F.sum(_COUNT).alias(_COUNT))
+        .groupBy("primary_category_sk")
+        .agg(*[F.sum(grade).alias(grade) for grade in GRADES])
+        .unpivot("primary_category_sk", list(GRADES), "nutriscore_grade", _COUNT)
+        .where(F.col(_COUNT) > 0)
     )
     known = category.where(~F.col("category_code").isin(*NOISE_CATEGORIES)).select(
         F.col("category_sk").alias("primary_category_sk"), F.col("category_code").alias("category")

@@ -159,6 +159,9 @@ def bridge_product_category(
         pairs = pairs.join(category.select("category_sk"), "category_sk", "left_semi")
     if product is not None:
         pairs = pairs.join(product.select("product_sk"), "product_sk", "left_semi")
+    if category is not None or product is not None:
+        # Else what follows may keep the partitioning of the join, which has a hot category in one task.
+        pairs = pairs.repartition("product_sk", "category_sk")
     return conform(pairs, BRIDGE_PRODUCT_CATEGORY)
 
 
@@ -191,11 +194,13 @@ def build_star(
     snapshots: DataFrame | None = None,
     categories: str = "primary",
     names: Iterable[str] = GOLD,
+    unresolved: bool = False,
 ) -> dict[str, DataFrame]:
     """Gold tables by name, parents first; all of them unless ``names`` says otherwise.
 
     ``products`` holds one row per code. ``snapshots`` may hold several dates per code and defaults
-    to the same rows.
+    to the same rows. With ``unresolved`` the fact keeps the rows whose keys are missing, for a load that counts
+    and rejects them.
     """
     snapshots = products if snapshots is None else snapshots
     makers = {
@@ -205,6 +210,6 @@ def build_star(
         "dim_country": lambda: dim_country(products),
         "dim_product": lambda: dim_product(products),
         "bridge_product_category": lambda: bridge_product_category(products, categories=categories),
-        "fact_nutrition_snapshot": lambda: fact_nutrition_snapshot(snapshots),
+        "fact_nutrition_snapshot": lambda: (fact_rows if unresolved else fact_nutrition_snapshot)(snapshots),
     }
     return {name: makers[name]() for name in names}

@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 # UTC keeps dates stable. ANSI is Spark's default: bad text must be handled, not silently nulled.
 # Adaptive execution sizes reduce partitions, turns a join into a broadcast only when the measured
 # side is small, and splits a join partition that one hot key has made too large.
+# Window and aggregate need rows spread by all of their keys: a partitioning left over from a join on one
+# of them would put that key's rows into one task.
 # The JVM does not compile methods beyond 8000 bytes of bytecode, so a wide projection fused into one
 # larger method would run interpreted; with the limit its steps are generated separately.
 SETTINGS = {
@@ -15,6 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
