@@ -20,6 +20,7 @@ from larder.llm import subwords
 from larder.llm.words import merged
 
 BLOCK_BYTES = 8 << 20
+BIN_BITS = 16
 
 
 @dataclass(frozen=True)
@@ -31,42 +32,53 @@ class Sample:
     text_bytes: int = 32 << 20
 
 
-def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, learn) -> DataFrame:
-    """Rows (key, text, label 0/1) to learn from. A key labelled several times has the majority's label, 1 at a
-    tie; null labels and null keys say nothing."""
-    marks = (
+def marked(labels: DataFrame, key: str, label: str) -> DataFrame:
+    """Rows (key, label 0/1). A key labelled several times has the majority's label, 1 at a tie; null labels and null keys
+    say nothing."""
+    return (
         labels.select(F.col(key).alias("key"), F.col(label).cast("double").alias("label"))
         .where("key is not null and label is not null")
         .groupBy("key")
         .agg((F.avg("label") >= 0.5).cast("int").alias("label"))
     )
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    return rows.where(learn(F.col("key"))).join(marks, "key")
-
-
-def training_sample(rows: DataFrame, bounds: Sample) -> tuple[pa.Array, np.ndarray]:
-    """The bounded sample on the driver. Which rows are chosen depends on keys and texts alone."""
-    sized = rows.select(
-        "key",
-        "label",
-        F.octet_length("text").alias("bytes"),
-        F.xxhash64(F.lit(1), "key").alias("rank"),
-        F.xxhash64("text").alias("tie"),
+
+
+def training_sample(
+    docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, learn, bounds: Sample
+) -> tuple[pa.Array, np.ndarray]:
+    """The bounded sample on the driver, from documents whose key ``learn`` takes. Which rows are chosen depends on keys
+    and texts alone; equal rows count once.
+
+    No text is shuffled but those chosen: keys and hashes meet the labels, and the chosen keys, whose number is bounded,
+    are sent to the texts.
+    """
+    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).where(learn(F.col("key")))
+    marks, rank = marked(labels, key, label), F.xxhash64(F.lit(1), "key")
+    # Ranks come in bins of equal width. Those up to the bin with the last wanted row of a class are enough, so that the
+    # exact order below is made of few rows, however many are labelled.
+    part = F.shiftrightunsigned(rank.bitwiseXOR(F.lit(-(1 << 63))), 64 - BIN_BITS)
+    bins = rows.select("key").distinct().join(marks, "key").groupBy("label", part.alias("bin")).count()
+    upto = Win.partitionBy("label").orderBy("bin").rowsBetween(Win.unboundedPreceding, -1)
+    last = (
+        bins.withColumn("before", F.coalesce(F.sum("count").over(upto), F.lit(0)))
+        .where(F.col("before") < bounds.rows)
+        .groupBy("label")
+        .agg(F.max("bin").alias("last"))
     )
-    order = ["rank", "key", "tie"]
+    sized = rows.select("key", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"), F.xxhash64("text").alias("tie")).distinct()
+    # ``last`` has one row for each of the two classes.
+    near = sized.join(marks.withColumn("bin", part), "key").join(F.broadcast(last), "label").where("bin <= last")
+    by_rank = Win.partitionBy("label").orderBy("rank", "key", "tie")
     # A row number limit: every task sends on at most ``rows`` rows of a class.
-    first = sized.withColumn("n", F.row_number().over(Win.partitionBy("label").orderBy(*order))).where(
-        F.col("n") <= bounds.rows
-    )
-    share = bounds.text_bytes // 2
+    first = near.withColumn("rank", rank).withColumn("n", F.row_number().over(by_rank)).where(F.col("n") <= bounds.rows)
     until = Win.partitionBy("label").orderBy("n").rowsBetween(Win.unboundedPreceding, 0)
-    chosen = first.withColumn("sum", F.sum("bytes").over(until)).where(F.col("sum") <= share)
-    chosen = chosen.select("key", "label", "tie", "n")
+    chosen = first.withColumn("sum", F.sum("bytes").over(until)).where(F.col("sum") <= bounds.text_bytes // 2)
     # At most 2 * rows keys, and as many texts with at most ``text_bytes`` bytes.
     texts = (
         rows.withColumn("tie", F.xxhash64("text"))
-        .join(F.broadcast(chosen), ["key", "label", "tie"])
+        .join(F.broadcast(chosen.select("key", "tie", "label", "n")), ["key", "tie"])
         .dropDuplicates(["n", "label"])
+        .select("label", "n", "text")
         .toArrow()
         .sort_by([("label", "ascending"), ("n", "ascending")])
     )

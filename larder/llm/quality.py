@@ -35,7 +35,7 @@ def score_quality(
     nulls, empty texts and clashing names are those of ``classifier.apply``. Without any labelled row all
     texts have nearly the same score, about one half.
     """
-    texts, marks = classifier.training_sample(classifier.labelled(docs, labels, key, text, label, learn), sample)
+    texts, marks = classifier.training_sample(docs, labels, key, text, label, learn, sample)
     model = subwords.train(texts, marks, settings)
     return classifier.apply(docs, key, text, model, settings, keep, score)
 

@@ -38,12 +38,15 @@ def test_edge_rows(spark, edges, nothing):
 def test_sample_is_bounded_and_repeatable(spark, edges):
     _, docs = edges
     labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(60)], "doc_id long, toxic int")
-    rows = classifier.labelled(docs, labels, "doc_id", "text", "toxic", lambda key: key != 7)
-    texts, marks = classifier.training_sample(rows, classifier.Sample(rows=6))
+
+    def sample(docs, bounds):
+        return classifier.training_sample(docs, labels, "doc_id", "text", "toxic", lambda key: key != 7, bounds)
+
+    texts, marks = sample(docs, classifier.Sample(rows=6))
     assert sorted(marks.tolist()) == [0] * 6 + [1] * 6
-    again, _ = classifier.training_sample(rows.repartition(5), classifier.Sample(rows=6))
+    again, _ = sample(docs.repartition(5), classifier.Sample(rows=6))
     assert texts.to_pylist() == again.to_pylist()
-    few, _ = classifier.training_sample(rows, classifier.Sample(rows=1000, text_bytes=2000))
+    few, _ = sample(docs, classifier.Sample(rows=1000, text_bytes=2000))
     assert 0 < sum(len(t.encode()) for t in few.to_pylist()) <= 2000
 
 
