@@ -9,6 +9,8 @@ import pyarrow as pa
 
 from larder.llm import words as W
 
+PART_BYTES = 2 << 20  # of training texts looked at together
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -100,6 +102,26 @@ def encoded(texts: pa.Array, settings: Settings) -> W.Words:
     return W.Words(words, codes, found.offsets + np.concatenate([[0], np.cumsum(same)])[found.offsets])
 
 
+def counted(texts: pa.Array, settings: Settings):
+    """Distinct words of all texts; then, text after text, each one's number, its distinct words and how often each occurs.
+
+    Works through blocks of texts, so that only distinct words and counts are kept of more than one block.
+    """
+    vocabularies, pairs, amounts, known, first = [pa.array([], pa.string())], [], [], 0, 0
+    for part in W.blocks([pa.record_batch([texts.cast(pa.string())], names=["text"])], "text", PART_BYTES):
+        found = encoded(part.column("text"), settings)
+        text = np.repeat(np.arange(first, first + len(part)), np.diff(found.offsets))
+        pair, times = np.unique(text << 32 | found.codes + known, return_counts=True)
+        vocabularies.append(found.words.cast(pa.string()))
+        pairs.append(pair)
+        amounts.append(times)
+        known, first = known + len(found.words), first + len(part)
+    coded = pa.concat_arrays(vocabularies).dictionary_encode()
+    pair = np.concatenate(pairs) if pairs else np.zeros(0, np.int64)
+    times = np.concatenate(amounts) if amounts else np.zeros(0, np.int64)
+    return coded.dictionary, pair >> 32, np.asarray(coded.indices, dtype=np.int64)[pair & 0xFFFFFFFF], times
+
+
 def softmax(logits: np.ndarray) -> np.ndarray:
     power = np.exp(logits - logits.max(axis=1, keepdims=True))
     return power / power.sum(axis=1, keepdims=True)
@@ -118,15 +140,12 @@ def train(texts: pa.Array, labels: np.ndarray, settings: Settings) -> Model:
     )
     if not len(labels):
         return model
-    found = encoded(texts, settings)
-    buckets, firsts = features(found.words, settings)
+    words, text, word, times = counted(texts, settings)
+    buckets, firsts = features(words, settings)
     amounts = np.diff(firsts)
     targets = np.eye(settings.classes, dtype=np.float32)[labels]
     model.bias[:] = np.log((targets.sum(axis=0) + 1) / (len(labels) + settings.classes))
-    # Distinct words of each text and how often they occur, weighed so that a text's features add up to 1.
-    text = np.repeat(np.arange(len(labels)), np.diff(found.offsets))
-    pairs, times = np.unique(text << 32 | found.codes, return_counts=True)
-    text, word = pairs >> 32, pairs & 0xFFFFFFFF
+    # Weighed so that a text's features add up to 1.
     whole = np.bincount(text, times * amounts[word], len(labels))
     share = (times / whole[text]).astype(np.float32)
     edges = np.searchsorted(text, np.arange(len(labels) + 1))
