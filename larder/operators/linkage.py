@@ -6,7 +6,9 @@ therefore meet in a join on such remainders. Copies of a name are reduced to one
 only so many different names can shrink to the same remainder (fewer than (length + 1) x alphabet for
 one edit), so no join group grows with the data, whatever the size of a block. No candidate is left out.
 
-A name of length L has about L**k / k! remainders: made for titles and names, with k of 1 or 2.
+A name of length L has about L**k / k! remainders: made for titles and names, with k of 1 or 2. Each is a row of its own
+with two hashes and the block. A task holds the L texts of one deletion step of one name at a time (L**2 characters), with
+two edits as with one.
 """
 
 from __future__ import annotations
@@ -19,46 +21,70 @@ from pyspark.sql import functions as F
 from larder.functions.text import canonical, edit_distance, is_filled
 
 
-def _shorter_by_one(text: Column) -> Column:
-    positions = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text)))
-    cut = F.transform(
-        positions,
-        lambda i: F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text))),
+def _shorter_by_one(text: Column, begin: Column) -> Column:
+    """(position, what is left) for each deletion at ``begin`` or behind; of equal neighbours only the first is deleted."""
+    positions = F.when(F.length(text) >= begin, F.sequence(begin, F.length(text)))
+    heads = F.filter(
+        positions, lambda i: (i == 1) | (F.substring(text, i, F.lit(1)) != F.substring(text, i - 1, F.lit(1)))
     )
-    return F.coalesce(cut, F.array().cast("array<string>"))
+    return F.transform(
+        heads,
+        lambda i: F.struct(
+            i.alias("begin"),
+            F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text))).alias("rest"),
+        ),
+    )
+
 
+def remainders(names: DataFrame, name: str, edits: int) -> DataFrame:
+    """``names`` with a column ``rest``: the name itself and everything left of it after deleting up to ``edits``
+    characters.
 
-def remainders(text: Column, edits: int) -> Column:
-    """The text itself and everything left of it after deleting up to ``edits`` characters."""
-    reached = frontier = F.array(text)
+    A deletion is never followed by one before it. Deleting a later one of equal neighbours, or two characters in another
+    order, leaves nothing else. The same text may come more than once when its letters alternate.
+    """
+    reached = frontier = names.select("*", F.lit(1).alias("begin"), F.col(name).alias("rest"))
     for _ in range(edits):
-        frontier = F.array_distinct(F.flatten(F.transform(frontier, _shorter_by_one)))
-        reached = F.concat(reached, frontier)
-    return F.array_distinct(reached)
+        frontier = frontier.select(*names.columns, F.explode(_shorter_by_one(F.col("rest"), F.col("begin"))).alias("step"))
+        frontier = frontier.select(*names.columns, "step.begin", "step.rest")
+        reached = reached.unionByName(frontier)
+    return reached.drop("begin")
 
 
 def distinct_names(df: DataFrame, block: str, name: str) -> DataFrame:
     """Canonical names that occur in each block, each once."""
-    names = df.select(F.col(block).alias("block"), canonical(F.col(name)).alias("name")).distinct()
+    spelt = df.select(F.col(block).alias("block"), F.col(name).alias("name")).distinct()
+    names = spelt.select("block", canonical(F.col("name")).alias("name")).distinct()
     return names.where(F.col("block").isNotNull() & is_filled(F.col("name")))
 
 
 def _with_remainders(names: DataFrame, alias: str, edits: int) -> DataFrame:
-    return names.select(
-        "block", F.col("name").alias(alias), F.explode(remainders(F.col("name"), edits)).alias("__rest")
-    ).withColumn("__rest", F.xxhash64("__rest"))
+    """Hashes of names and remainders, so that no row carries a text."""
+    numbered = names.select("block", "name", F.xxhash64("name").alias(alias))
+    return remainders(numbered, "name", edits).select("block", alias, F.xxhash64("rest").alias("__rest"))
+
+
+def _named(names: DataFrame, number: str, name: str) -> DataFrame:
+    return names.select("block", F.xxhash64("name").alias(number), F.col("name").alias(name))
 
 
 def similar_names(left: DataFrame, right: DataFrame, edits: int) -> DataFrame:
-    """Pairs of distinct names of the same block at most ``edits`` apart, equal names included."""
-    met = _with_remainders(left, "left_name", edits).join(
-        _with_remainders(right, "right_name", edits), ["block", "__rest"]
+    """Pairs of distinct names of the same block at most ``edits`` apart, equal names included.
+
+    Names that meet are looked up again by their hash; every pair is then compared as text.
+    """
+    met = _with_remainders(left, "__left", edits).join(
+        _with_remainders(right, "__right", edits), ["block", "__rest"]
     )
-    distance = edit_distance(F.col("left_name"), F.col("right_name"), edits)
-    return (
-        met.select("block", "left_name", "right_name", distance.alias("distance"))
-        .where(F.col("distance").isNotNull())
+    pairs = (
+        met.select("block", "__left", "__right")
         .distinct()
+        .join(_named(left, "__left", "left_name"), ["block", "__left"])
+        .join(_named(right, "__right", "right_name"), ["block", "__right"])
+    )
+    distance = edit_distance(F.col("left_name"), F.col("right_name"), edits)
+    return pairs.select("block", "left_name", "right_name", distance.alias("distance")).where(
+        F.col("distance").isNotNull()
     )
 
 

@@ -25,11 +25,26 @@ def random_names(seed, n):
 
 
 def test_remainders(spark):
-    df = spark.createDataFrame([("abc",), ("aa",), ("",)], "s string")
-    one = [sorted(r[0]) for r in df.select(linkage.remainders(F.col("s"), 1)).collect()]
-    assert one == [["ab", "abc", "ac", "bc"], ["a", "aa"], [""]]
-    two = [sorted(r[0]) for r in df.select(linkage.remainders(F.col("s"), 2)).collect()]
-    assert two == [["a", "ab", "abc", "ac", "b", "bc", "c"], ["", "a", "aa"], [""]]
+    names = ["abc", "aa", "", "aba", "abab", "aabb", "bééb"]
+    df = spark.createDataFrame([(x,) for x in names], "s string")
+
+    def left(name, edits):
+        shorter = {name[:i] + name[i + 1 :] for i in range(len(name))}
+        return {name}.union(*(left(x, edits - 1) for x in shorter)) if edits else {name}
+
+    for edits in (1, 2):
+        rows = linkage.remainders(df, "s", edits).collect()
+        assert {(r.s, r.rest) for r in rows} == {(x, y) for x in names for y in left(x, edits)}
+    assert len(linkage.remainders(df.where("s = 'aa'"), "s", 2).collect()) == 3
+
+
+def test_long_names_two_edits_apart(spark):
+    rng = random.Random(5)
+    name = "".join(rng.choice("abcdefgh ") for _ in range(600))
+    other = name[:100] + name[101:500] + "z" + name[501:]
+    frames = [spark.createDataFrame([(1, x)], "block int, name string") for x in (name, other)]
+    found = linkage.similar_names(*frames, 2).collect()
+    assert [tuple(r) for r in found] == [(1, name, other, 2)]
 
 
 def test_similar_names_equal_brute_force(spark):
