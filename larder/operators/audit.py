@@ -62,36 +62,42 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def row_violations(df: DataFrame, table: str) -> DataFrame:
+    """All checks of single rows of a table of the star, in one pass: missing values, too long texts, bad intervals."""
+    checks = [("not null", c, F.col(c).isNull()) for c in REQUIRED[table]]
+    checks += [("length", c, F.length(c) > limit) for c, limit in MAX_LENGTHS.get(table, {}).items()]
+    if table == "dim_product":
+        ends_late = F.col("effective_to") > F.col("effective_from")
+        checks.append(("interval", "effective_from,effective_to", ~ends_late))
+    totals = df.agg(*[F.count_if(broken).alias(f"n{i}") for i, (_, _, broken) in enumerate(checks)])
+    found = [
+        F.struct(F.lit(check).alias("check"), F.lit(columns).alias("columns"), F.col(f"n{i}").alias("n"))
+        for i, (check, columns, _) in enumerate(checks)
+    ]
+    return totals.select(F.explode(F.array(*found)).alias("one")).select(
+        "one.check", F.lit(table).alias("table_name"), "one.columns", F.col("one.n").alias("violations")
+    )
+
+
 def star_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """Every declared constraint of the star with its number of violations; all zero when sound."""
-    found = []
-
-    def note(df: DataFrame, check: str, table: str, column: Column | str, n: Column | str) -> None:
-        label = F.lit(column) if isinstance(column, str) else column
-        total = F.col(n) if isinstance(n, str) else n
-        found.append(
-            df.select(
-                F.lit(check).alias("check"),
-                F.lit(table).alias("table_name"),
-                label.alias("columns"),
-                F.coalesce(total, F.lit(0)).cast("bigint").alias("violations"),
-            )
+
+    def total(df: DataFrame, check: str, table: str, columns: str, n: Column) -> DataFrame:
+        return df.agg(F.coalesce(F.sum(n), F.lit(0)).alias("violations")).select(
+            F.lit(check).alias("check"), F.lit(table).alias("table_name"), F.lit(columns).alias("columns"), "violations"
         )
 
-    for table, keys in UNIQUE_KEYS.items():
-        for key in keys:
-            surplus = duplicate_keys(tables[table], key).agg(F.sum(F.col("n") - 1).alias("n"))
-            note(surplus, "unique", table, ",".join(key), "n")
-    for child, child_key, parent, parent_key in FOREIGN_KEYS:
-        lost = orphan_keys(tables[child], child_key, tables[parent], parent_key).agg(F.sum("n").alias("n"))
-        note(lost, "foreign key", child, child_key, "n")
-    for table, columns in REQUIRED.items():
-        note(null_counts(tables[table], columns), "not null", table, F.col("column_name"), "n_null")
-    for table, limits in MAX_LENGTHS.items():
-        note(too_long_counts(tables[table], limits), "length", table, F.col("column_name"), "n_too_long")
-    bad = bad_intervals(tables["dim_product"]).agg(F.count(F.lit(1)).alias("n"))
-    note(bad, "interval", "dim_product", "effective_from,effective_to", "n")
-    return reduce(DataFrame.unionByName, found)
+    unique = [
+        total(duplicate_keys(tables[table], key), "unique", table, ",".join(key), F.col("n") - 1)
+        for table, keys in UNIQUE_KEYS.items()
+        for key in keys
+    ]
+    foreign = [
+        total(orphan_keys(tables[child], key, tables[parent], parent_key), "foreign key", child, key, F.col("n"))
+        for child, key, parent, parent_key in FOREIGN_KEYS
+    ]
+    rows = [row_violations(tables[table], table) for table in REQUIRED]
+    return reduce(DataFrame.unionByName, [*unique, *foreign, *rows])
 
 
 def silver_checks(metrics: DataFrame) -> DataFrame:
