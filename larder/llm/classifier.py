@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from larder.llm import subwords
 from larder.llm.words import merged
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 BIN_BITS = 16
 
 
