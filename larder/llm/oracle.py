@@ -113,9 +113,26 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+_OP13 = """
+WITH payloads AS (
+  SELECT page_id, url, coalesce(html, '') AS body FROM pages
+),
+ranked AS (
+  SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes, sha256(body) AS payload_digest,
+         row_number() OVER first_page AS place, first_value(page_id) OVER first_page AS first_id
+  FROM payloads
+  WINDOW first_page AS (PARTITION BY body ORDER BY page_id NULLS LAST, url NULLS FIRST)
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND place > 1 THEN first_id END AS refers_to
+FROM ranked
+"""
+
 ORACLE_SQL = {
     "op2_shard_placement": _OP2,
     "op3_source_mix": _OP3,
     "op5_chat_format": _OP5,
     "op8_top_inner_products": _OP8,
+    "op13_warc_archives": _OP13,
 }

@@ -5,10 +5,12 @@ from __future__ import annotations
 import importlib.util
 import os
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, chat, digest, hmm, mixing, quality, sharding, simhash, topk, toxicity
+from larder.catalogue.scratch import scratch_folder
+from larder.llm import bpe, chat, digest, hmm, mixing, quality, runs, sharding, simhash, spelling, topk, toxicity, warc
 
 # Where the files of the public tokenizers are. Queries have no other parameters than the data, hence here.
 RANKS = "byte_bpe_50k.tiktoken"
@@ -92,6 +94,36 @@ def op10_toxicity_score(spark, folder):
     return found.select("doc_id", held.alias("held_out"), "score", toxicity.predicted("score").alias("predicted"))
 
 
+def repeated_words(h: int, n: int) -> np.ndarray | None:
+    """For a tenth of the hashes, all words from one place on are the next few of them again and again."""
+    if h % 10:
+        return None
+    g = h // 10
+    begin = g % n
+    period = 1 + (n - begin) // (3 + g % 8)
+    places = np.arange(n)
+    return np.where(places < begin, places, begin + (places - begin) % period)
+
+
+def op11_periodic_runs(spark, folder):
+    salt = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = runs.find_runs(table(spark, folder, "documents"), "doc_id", "text", salt, repeated_words)
+    return runs.digests(found, "doc_id")
+
+
+def op12_spelling_variants(spark, folder):
+    return spelling.group_variants(table(spark, folder, "documents"), "doc_id", "text", every=199)
+
+
+def op13_warc_archives(spark, folder):
+    archives = f"{scratch_folder(spark)}-warc"
+    warc.write_archives(table(spark, folder, "pages"), "page_id", "url", "html", archives)
+    found = warc.read_archives(spark, archives, payloads=False)
+    number = lambda c: F.col(c).cast("long").alias(c)
+    found = found.withColumnRenamed("page", "page_id")
+    return found.select(number("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -105,5 +137,8 @@ QUERIES = {
         op8_top_inner_products,
         op9_improbable_digest,
         op10_toxicity_score,
+        op11_periodic_runs,
+        op12_spelling_variants,
+        op13_warc_archives,
     )
 }

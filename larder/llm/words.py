@@ -49,7 +49,12 @@ def merged(batches: Iterable[pa.RecordBatch], column: str, limit: int = BLOCK_BY
 
 def encode(texts: pa.Array) -> Words:
     """Words between ASCII white space, A-Z lower-cased; a null text has none."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    return encode_exact(pc.ascii_lower(pc.fill_null(texts, "")))
+
+
+def encode_exact(texts: pa.Array) -> Words:
+    """As ``encode``, with the words as they are written."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
     ends = np.asarray(lists.offsets, dtype=np.int64)
     flat = lists.values.slice(ends[0], ends[-1] - ends[0])
     full = np.asarray(pc.binary_length(flat)) > 0
