@@ -122,6 +122,18 @@ OFFER_COLUMNS = {
     "category": "lower(p_type)",
     "offer_price": "l_extendedprice",
 }
+# A third source whose titles are further away from the first one than from the second.
+SHOP_COLUMNS = {
+    "record_id": "concat('shop-', cast(l_orderkey as varchar(20)), '-', cast(l_linenumber as varchar(20)), '-', cast(l_partkey as varchar(20)))",
+    "size_block": "p_size",
+    "title": (
+        "case when l_linenumber = 2 then concat(p_name, 'sz') when l_linenumber = 5 then concat('À ', p_name) "
+        "when l_linenumber = 6 then replace(p_name, 'ol', 'u') else p_name end"
+    ),
+    "brand": "case when l_linenumber = 2 then concat(p_brand, ' shop') else null end",
+    "category": "concat('shop ', p_type)",
+    "offer_price": "l_extendedprice * 2",
+}
 
 
 def _expressions(columns: dict[str, str]):
@@ -136,3 +148,9 @@ def offer_records(spark: SparkSession, folder: str) -> DataFrame:
     part = table(spark, folder, "part")
     lines = table(spark, folder, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
     return lines.select(*_expressions(OFFER_COLUMNS))
+
+
+def shop_records(spark: SparkSession, folder: str) -> DataFrame:
+    part = table(spark, folder, "part")
+    lines = table(spark, folder, "lineitem").where("l_quantity < 10").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    return lines.select(*_expressions(SHOP_COLUMNS))

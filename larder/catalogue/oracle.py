@@ -9,6 +9,7 @@ from __future__ import annotations
 from larder.catalogue.fixtures import (
     CATALOGUE_COLUMNS,
     OFFER_COLUMNS,
+    SHOP_COLUMNS,
     TIE_BREAKERS,
     VERSION_COLUMNS,
 )
@@ -758,6 +759,63 @@ SELECT block, name, count(*) AS n_records, count(DISTINCT priority) AS n_sources
 FROM records GROUP BY block, name""",
 )
 
+
+
+def _grams(name: str, q: int) -> str:
+    marked = f"('{'#' * (q - 1)}' || {name} || '{'$' * (q - 1)}')"
+    return f"list_distinct(list_transform(range(1, length({name}) + {q}), lambda i: substr({marked}, i::INT, {q})))"
+
+
+def _gram_pairs(left: str, right: str, q: int, threshold: float, which: str = "true") -> str:
+    return f"""SELECT a.block, a.name AS left_name, b.name AS right_name,
+  round(len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g))), 6) AS similarity
+FROM (SELECT *, {_grams("name", q)} AS g FROM {left}) a JOIN (SELECT *, {_grams("name", q)} AS g FROM {right}) b ON a.block = b.block
+WHERE {which} AND len(list_intersect(a.g, b.g)) >= {threshold} * (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g)))"""
+
+
+oracle("similar_titles_grams", f"WITH {_LINKS}\n{_gram_pairs('master_names', 'offer_names', 2, 0.7)}")
+oracle(
+    "similar_titles_edits",
+    f"""WITH {_LINKS}
+SELECT a.block, a.name AS left_name, b.name AS right_name, CAST(levenshtein(a.name, b.name) AS integer) AS distance
+FROM master_names a JOIN offer_names b ON a.block = b.block WHERE levenshtein(a.name, b.name) <= 4""",
+)
+oracle(
+    "similar_customers_grams",
+    f"""WITH names AS (SELECT DISTINCT c_nationkey AS block, {canonical("c_name")} AS name FROM customer)
+{_gram_pairs("names", "names", 3, 0.9, "a.name < b.name")}""",
+)
+
+# All names against all names of a block, links followed one by one.
+oracle(
+    "golden_record_clusters",
+    f"""WITH RECURSIVE records AS (
+  SELECT size_block AS block, {canonical("title")} AS name, 0 AS priority, record_id, brand, category, offer_price
+  FROM (SELECT {_columns(CATALOGUE_COLUMNS)} FROM part)
+  UNION ALL
+  SELECT size_block, {canonical("title")}, 1, record_id, brand, category, offer_price
+  FROM (SELECT {_columns(OFFER_COLUMNS)} FROM lineitem JOIN part ON l_partkey = p_partkey)
+  UNION ALL
+  SELECT size_block, {canonical("title")}, 2, record_id, brand, category, offer_price
+  FROM (SELECT {_columns(SHOP_COLUMNS)} FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity < 10)
+),
+names AS (SELECT block, name, list(DISTINCT priority) AS places FROM records GROUP BY block, name),
+links AS (
+  SELECT a.block, a.name AS a, b.name AS b FROM names a JOIN names b ON a.block = b.block AND a.name <> b.name
+  WHERE levenshtein(a.name, b.name) <= 1 AND len(list_distinct(a.places || b.places)) > 1
+),
+reached AS (
+  SELECT block, name AS a, name AS b FROM names
+  UNION
+  SELECT r.block, r.a, l.b FROM reached r JOIN links l ON l.block = r.block AND l.a = r.b
+),
+roots AS (SELECT block, a AS name, min(b) AS root FROM reached GROUP BY block, a)
+SELECT block, arg_min(name, struct_pack(p := priority, n := name)) AS name, count(*) AS n_records,
+  count(DISTINCT priority) AS n_sources, count(DISTINCT name) AS n_names,
+  {_survivor("brand")}, {_survivor("category")}, {_survivor("offer_price")}
+FROM records JOIN roots USING (block, name) GROUP BY block, root""",
+)
+
 _HISTORY = with_versions(
     f"""SELECT code, nova_group, countries, CAST(ship_date AS varchar) AS effective_from,
   CAST(coalesce(lead(ship_date) OVER (PARTITION BY code ORDER BY ship_date), DATE '9999-12-31') AS varchar)

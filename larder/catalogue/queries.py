@@ -17,7 +17,7 @@ from larder.catalogue.scratch import scratch_folder
 from larder.functions import nutrients as N
 from larder.functions import tags as G
 from larder.functions import text as X
-from larder.operators import audit, history, linkage
+from larder.operators import audit, clusters, history, linkage, similarity
 from larder.operators.append import append_no_dupe, unseen_rows
 from larder.operators.columns import conform, plain_names, union_sources
 from larder.operators.dedup import distinct_keys, keep_latest, upsert_latest
@@ -27,6 +27,7 @@ from larder.plans import star as star_plan
 from larder.schemas import BRONZE, GOLD, LOAD_KEYS
 from larder.sources import readers, sinks
 from larder.sources.tables import ParquetTable
+from larder.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -641,6 +642,38 @@ def golden_record(spark: SparkSession, folder: str) -> DataFrame:
     return linkage.golden_records(master, offers, "size_block", "title", "record_id", attributes, 2)
 
 
+@query
+def golden_record_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Three sources; names are linked one edit at a time and links are followed on."""
+    sources = [f(spark, folder) for f in (fx.catalogue_records, fx.offer_records, fx.shop_records)]
+    attributes = ["brand", "category", "offer_price"]
+    work = Workspace(spark, scratch_folder(spark))
+    return clusters.golden_clusters(sources, "size_block", "title", "record_id", attributes, 1, work)
+
+
+@query
+def similar_titles_grams(spark: SparkSession, folder: str) -> DataFrame:
+    """Titles of two sources that share seven tenths of their letter pairs."""
+    records = fx.catalogue_records(spark, folder), fx.offer_records(spark, folder)
+    found = similarity.similar_titles(*records, "size_block", "title", threshold=0.7)
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
+@query
+def similar_titles_edits(spark: SparkSession, folder: str) -> DataFrame:
+    """Titles of two sources up to four edits apart."""
+    records = fx.catalogue_records(spark, folder), fx.offer_records(spark, folder)
+    return similarity.similar_titles(*records, "size_block", "title", edits=4)
+
+
+@query
+def similar_customers_grams(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers of a nation, whose names are alike but for the number."""
+    customers = fx.table(spark, folder, "customer")
+    found = similarity.similar_titles(customers, customers, "c_nationkey", "c_name", threshold=0.9, q=3)
+    return found.where("left_name < right_name").withColumn("similarity", F.round("similarity", 6))
+
+
 HISTORY_ATTRIBUTES = ("nova_group", "countries")
 
 

@@ -111,7 +111,8 @@ def link_to_master(
     )
 
 
-def _first_filled(attribute: str, rank: Sequence[str]) -> Column:
+def first_filled(attribute: str, rank: Sequence[str]) -> Column:
+    """Aggregate: the first filled value by ``rank``, as a struct that can be compared and merged further; it ends with ``value``."""
     value = F.struct(*[F.col(r) for r in rank], F.col(attribute).alias("value"))
     return F.min(F.when(F.col(attribute).isNotNull(), value))
 
@@ -151,7 +152,7 @@ def golden_records(
     )
     rank = ("priority", "record_id")
     per_name = records.groupBy("block", "name", "priority", "__own").agg(
-        F.count(F.lit(1)).alias("n_records"), *[_first_filled(a, rank).alias(a) for a in attributes]
+        F.count(F.lit(1)).alias("n_records"), *[first_filled(a, rank).alias(a) for a in attributes]
     )
     links = link_to_master(master, incoming, block, name, edits).where(
         F.col("master_name").isNotNull()
