@@ -154,3 +154,19 @@ def shop_records(spark: SparkSession, folder: str) -> DataFrame:
     part = table(spark, folder, "part")
     lines = table(spark, folder, "lineitem").where("l_quantity < 10").join(part, F.col("l_partkey") == F.col("p_partkey"))
     return lines.select(*_expressions(SHOP_COLUMNS))
+
+
+# Lists from the general to the special. Every ninth size has them the wrong way round, every eleventh lacks its second entry.
+CATEGORY_LISTS = {
+    "first": "lower(p_type)",
+    "second": "case when p_size % 11 > 0 then concat(lower(p_type), ' ', substr(p_name, 1, 1)) end",
+    "third": "concat(lower(p_type), ' ', substr(p_name, 1, 3))",
+    "fourth": "concat(lower(p_type), ' ', p_name)",
+}
+
+
+def category_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """``p_partkey`` and ``codes`` of each part."""
+    parts = table(spark, folder, "part").select("p_partkey", "p_size", *_expressions(CATEGORY_LISTS))
+    codes = F.array_distinct(F.array_compact(F.array(*CATEGORY_LISTS)))
+    return parts.select("p_partkey", F.when(F.col("p_size") % 9 == 0, F.reverse(codes)).otherwise(codes).alias("codes"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from larder.catalogue.fixtures import (
     CATALOGUE_COLUMNS,
+    CATEGORY_LISTS,
     OFFER_COLUMNS,
     SHOP_COLUMNS,
     TIE_BREAKERS,
@@ -852,3 +853,59 @@ oracle(
        THEN (SELECT without_product + without_date FROM ({ORACLE_SQL["unresolved_facts"]})) ELSE 0 END AS rejected
 FROM ({ORACLE_SQL["audit_counts"]})""",
 )
+
+# --- category hierarchy -------------------------------------------------------------------------
+
+
+def _parents(lists: str) -> str:
+    """Most votes, none before others, then the smaller code; these data have no circles after the vote."""
+    return f"""placed AS (
+  SELECT codes[i] AS code, CASE WHEN i > 1 THEN codes[i - 1] END AS parent
+  FROM (SELECT codes, unnest(range(1, len(codes) + 1)) AS i FROM {lists})
+),
+parents AS (
+  SELECT code, parent FROM (SELECT code, parent, count(*) AS n FROM placed GROUP BY code, parent)
+  QUALIFY row_number() OVER (PARTITION BY code ORDER BY n DESC, parent NULLS FIRST) = 1
+),
+above AS (
+  SELECT code, code AS ancestor, 0 AS distance FROM parents
+  UNION ALL
+  SELECT a.code, p.parent, a.distance + 1 FROM above a JOIN parents p ON p.code = a.ancestor WHERE p.parent IS NOT NULL
+)"""
+
+
+_LISTS = f"""lists AS (
+  SELECT p_partkey, CASE WHEN p_size % 9 = 0 THEN list_reverse(codes) ELSE codes END AS codes
+  FROM (SELECT p_partkey, p_size, list_filter([{", ".join(CATEGORY_LISTS.values())}], lambda x: x IS NOT NULL) AS codes FROM part)
+)"""
+oracle(
+    "category_ancestors",
+    f"WITH RECURSIVE {_LISTS}, {_parents('lists')} SELECT code, ancestor, distance FROM above",
+)
+oracle(
+    "category_rollup",
+    f"""WITH RECURSIVE {_LISTS}, {_parents('lists')},
+lines AS (
+  SELECT codes[len(codes)] AS leaf, l_returnflag, l_quantity::DECIMAL(18, 2) AS quantity
+  FROM lineitem JOIN lists ON l_partkey = p_partkey
+)
+SELECT ancestor AS category, l_returnflag, count(*) AS n, sum(quantity)::DOUBLE AS quantity
+FROM lines JOIN above ON code = leaf GROUP BY ancestor, l_returnflag""",
+)
+
+_SILVER_TREE = f"""WITH RECURSIVE {VERSIONS}, {PRODUCTS},
+lists AS (
+  SELECT list_filter(l, lambda x, i: x <> '' AND list_position(l, x) = i) AS codes
+  FROM (SELECT list_transform(categories_codes, lambda x: {canonical("x")}) AS l FROM products)
+),
+{_parents("lists")},
+levels AS (
+  SELECT code AS category_code, (max(distance) + 1)::INTEGER AS level, any_value(p.parent) AS parent_code
+  FROM above JOIN parents p USING (code) GROUP BY code
+)"""
+oracle("dim_category_hierarchy", f"{_SILVER_TREE} SELECT * FROM levels")
+oracle(
+    "audit_parent_categories",
+    f"""{_SILVER_TREE} SELECT count(DISTINCT parent_code) AS n_parents, count(*) AS n_categories
+FROM levels WHERE category_code <> 'promo' AND parent_code = 'promo'""",
+)

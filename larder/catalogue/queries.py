@@ -17,7 +17,7 @@ from larder.catalogue.scratch import scratch_folder
 from larder.functions import nutrients as N
 from larder.functions import tags as G
 from larder.functions import text as X
-from larder.operators import audit, clusters, history, linkage, similarity
+from larder.operators import audit, clusters, hierarchy, history, linkage, similarity
 from larder.operators.append import append_no_dupe, unseen_rows
 from larder.operators.columns import conform, plain_names, union_sources
 from larder.operators.dedup import distinct_keys, keep_latest, upsert_latest
@@ -274,6 +274,47 @@ def dim_category_all(spark: SparkSession, folder: str) -> DataFrame:
     return star_plan.dim_category(fx.products(spark, folder), "all").select("category_code")
 
 
+@query
+def dim_category_hierarchy(spark: SparkSession, folder: str) -> DataFrame:
+    """Levels and parents from the lists on the newest products."""
+    levels = star_plan.dim_category_levels(fx.products(spark, folder), Workspace(spark, scratch_folder(spark)))
+    parent = levels.select(F.col("category_sk").alias("parent_category_sk"), F.col("category_code").alias("parent_code"))
+    return levels.join(parent, "parent_category_sk", "left").select("category_code", "level", "parent_code")
+
+
+@query
+def audit_parent_categories(spark: SparkSession, folder: str) -> DataFrame:
+    """Parents that are missing once a top category is gone, and the categories below them."""
+    levels = star_plan.dim_category_levels(fx.products(spark, folder), Workspace(spark, scratch_folder(spark)))
+    left = levels.where(F.col("category_code") != "promo")
+    found = audit.orphan_keys(left, "parent_category_sk", left, "category_sk")
+    return found.agg(F.count(F.lit(1)).alias("n_parents"), F.sum("n").alias("n_categories"))
+
+
+def _category_parents(spark: SparkSession, folder: str) -> DataFrame:
+    work = Workspace(spark, scratch_folder(spark))
+    return work.store(hierarchy.category_parents(fx.category_lists(spark, folder), "codes", work), "tree")
+
+
+@query
+def category_ancestors(spark: SparkSession, folder: str) -> DataFrame:
+    """Deep lists, some of them the wrong way round."""
+    return hierarchy.category_ancestors(_category_parents(spark, folder))
+
+
+@query
+def category_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines and quantity of each category with all below it, by return flag."""
+    lists = fx.category_lists(spark, folder).select("p_partkey", F.get("codes", F.size("codes") - 1).alias("category"))
+    lines = fx.table(spark, folder, "lineitem").join(lists, F.col("l_partkey") == F.col("p_partkey"))
+    report = lines.groupBy("category", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity")
+    )
+    above = hierarchy.category_ancestors(_category_parents(spark, folder))
+    found = hierarchy.rolled_up(report, "category", above, ["n", "quantity"], ["l_returnflag"])
+    return found.withColumn("quantity", F.col("quantity").cast("double"))
+
+
 @query
 def dim_country(spark: SparkSession, folder: str) -> DataFrame:
     return star_plan.dim_country(fx.products(spark, folder)).select("country_code", "country_name_fr")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from larder.functions import keys as K
 from larder.functions import text as X
+from larder.operators import hierarchy
 from larder.operators.columns import conform, plain_names
 from larder.operators.dedup import distinct_keys
 from larder.schemas import (
@@ -29,6 +30,7 @@ from larder.schemas import (
     GOLD,
     SILVER,
 )
+from larder.sources.workspace import Workspace
 
 
 def category_codes() -> Column:
@@ -98,6 +100,22 @@ def dim_category(silver: DataFrame, categories: str = "primary") -> DataFrame:
     return conform(codes.withColumn("category_sk", K.surrogate_key(F.col("category_code"))), DIM_CATEGORY)
 
 
+def dim_category_levels(silver: DataFrame, work: Workspace) -> DataFrame:
+    """All categories with level and parent, from the order of the lists on products; 1 is the top level."""
+    lists = conform(silver, SILVER).select(category_codes().alias("codes"))
+    parents = hierarchy.category_parents(lists, "codes", work)
+    levels = hierarchy.category_levels(parents, hierarchy.category_ancestors(parents))
+    return conform(
+        levels.select(
+            K.surrogate_key(F.col("code")).alias("category_sk"),
+            F.col("code").alias("category_code"),
+            "level",
+            K.surrogate_key(F.col("parent")).alias("parent_category_sk"),
+        ),
+        DIM_CATEGORY,
+    )
+
+
 def dim_country(silver: DataFrame) -> DataFrame:
     codes = _distinct_values(silver, "country_primary_code", _with_country_code, "country_code")
     return conform(codes.withColumn("country_sk", K.surrogate_key(F.col("country_code"))), DIM_COUNTRY)
