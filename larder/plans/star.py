@@ -18,7 +18,7 @@ from larder.functions import keys as K
 from larder.functions import text as X
 from larder.operators import hierarchy
 from larder.operators.columns import conform, plain_names
-from larder.operators.dedup import distinct_keys
+from larder.operators.dedup import distinct_keys, keep_latest
 from larder.schemas import (
     BRIDGE_PRODUCT_CATEGORY,
     DIM_BRAND,
@@ -33,6 +33,27 @@ from larder.schemas import (
 from larder.sources.workspace import Workspace
 
 
+# What dimensions and bridge need of a silver row; the last two settle which row of a code is the newest.
+PRODUCT_COLUMNS = (
+    "code",
+    "product_name_pref",
+    "brand_primary",
+    "primary_category_code",
+    "categories_codes",
+    "country_primary_code",
+    "countries_codes",
+    "event_date",
+    "last_modified_ts",
+)
+
+
+def newest_products(silver: DataFrame) -> DataFrame:
+    """Newest row of each code, in the columns that dimensions and bridge need: the scan reads no others, and no others are
+    hashed to settle ties."""
+    rows = conform(silver, SILVER).select(*PRODUCT_COLUMNS)
+    return keep_latest(rows, ["code"], F.col("last_modified_ts"), ["event_date"])
+
+
 def category_codes() -> Column:
     """All categories of a product in canonical form, each once."""
     codes = F.transform(F.col("categories_codes"), X.canonical)
