@@ -74,7 +74,8 @@ def leaders(ranks: np.ndarray, inside: np.ndarray) -> np.ndarray:
 def chosen(texts: list[bytes], table: np.ndarray) -> list[np.ndarray]:
     """Begins of the windows of each text that are features. ``table``: entropy to rank, improbable first.
 
-    A text with less than a full stretch has the most improbable of its windows.
+    A text in which no window leads ``LEAST`` stretches, as it is too short for so many or always the same, has the most improbable of
+    its windows. So every text of a window or more has a feature.
     """
     found: list[np.ndarray] = []
     sizes = np.array([len(x) for x in texts])
@@ -89,20 +90,24 @@ def chosen(texts: list[bytes], table: np.ndarray) -> list[np.ndarray]:
         edges = np.searchsorted(taken, np.append(0, ends))
         for i, (end, size) in enumerate(zip(ends.tolist(), sizes.tolist())):
             begin = end - size
-            if WINDOW <= size < 2 * WINDOW - 1:
-                found.append(np.array([np.argmin(ranks[begin : end - WINDOW + 1])]))
-            else:
-                found.append(taken[edges[i] : edges[i + 1]] - begin)
+            own_taken = taken[edges[i] : edges[i + 1]] - begin
+            if not len(own_taken) and size >= WINDOW:
+                own_taken = np.array([np.argmin(ranks[begin : end - WINDOW + 1])])
+            found.append(own_taken)
         return found
     for text in texts:  # long ones, a part at a time
         if len(text) <= SEGMENT:
             found += chosen([text], table)
             continue
         whole, led = np.frombuffer(text, np.uint8), np.zeros(len(text), np.uint8)
+        rarest = (len(table), 0)
         for at in range(0, len(text) - 2 * WINDOW + 2, SEGMENT):
             ranks = table[entropies(whole[at : at + SEGMENT + 2 * WINDOW - 2])]
             led[at : at + len(ranks)] += leaders(ranks, np.ones(len(ranks) - WINDOW + 1, bool)).astype(np.uint8)
-        found.append(np.flatnonzero(led >= LEAST))
+            first = int(np.argmin(ranks))
+            rarest = min(rarest, (int(ranks[first]), at + first))
+        taken = np.flatnonzero(led >= LEAST)
+        found.append(taken if len(taken) else np.array([rarest[1]]))
     return found
 
 

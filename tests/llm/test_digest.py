@@ -22,13 +22,11 @@ def plain_entropies(data):
 
 
 def plain_chosen(data, ranks):
-    """Windows that lead 16 of the stretches of 64 windows or more."""
+    """Windows that lead 16 of the stretches of 64 windows or more, else the most improbable one."""
     if len(data) < 64:
         return []
-    if len(ranks) < 64:
-        return [min(range(len(ranks)), key=lambda i: (ranks[i], i))]
     led = Counter(min(range(j, j + 64), key=lambda i: (ranks[i], i)) for j in range(len(ranks) - 63))
-    return sorted(i for i, n in led.items() if n >= 16)
+    return sorted(i for i, n in led.items() if n >= 16) or [min(range(len(ranks)), key=lambda i: (ranks[i], i))]
 
 
 def texts():
@@ -87,3 +85,17 @@ def test_neighbours(spark, edges, nothing, partitions):
     assert digest.compare_neighbours(nothing, "doc_id", "text", table).count() == 0
     single = digest.compare_neighbours(docs.where("doc_id = 5"), "doc_id", "text", table).collect()
     assert len(single) == 1 and single[0].near_next == 1.0
+
+
+def test_every_text_has_a_feature():
+    """Short ones, and ones that are always the same; unlike texts are not taken for equal."""
+    r = np.random.default_rng(3)
+    table = np.arange(digest.BINS)
+    texts = [bytes(r.integers(97, 123, size=n, dtype=np.uint8)) for n in range(1, 401)]
+    texts += [b"x" * n for n in range(1, 401)] + [b"ab" * 100, b"z" * 300_000, bytes(r.integers(97, 123, size=140_000, dtype=np.uint8))]
+    prints = digest.fingerprints(texts, table)
+    assert all(sum(p.counts) >= 1 for p in prints)
+    assert prints == [p for text in texts for p in digest.fingerprints([text], table)]
+    for a, b in zip(prints[:399], prints[1:400]):
+        assert digest.likeness(a, b) < 1.0
+    assert digest.likeness(prints[150], digest.EMPTY) == 0.0
