@@ -72,8 +72,8 @@ def copies(
 ) -> DataFrame:
     """One row per row of ``docs``: ``key``, ``size`` (words), ``source_size``, ``target``, ``copies`` and ``carry``.
 
-    Reruns give the same copies: the order is by size, then by a hash of the key with ``seed``, then by a
-    hash of the text. Rows equal in all of these are alike, so which of them is taken makes no
+    Reruns give the same copies: the order is by size, then by a hash of the key with ``seed``, then by
+    hashes of the text and of the columns to ``carry``. Rows equal in all of these are alike, so which of them is taken makes no
     difference. A null text has no words, a null source is a source of its own, null keys count as equal
     keys. A source without words has target 0 and takes no copies. ``buckets`` (a power of 16) bounds the
     rows of one size that meet in a window: a bucket holds about one in ``buckets`` of them.
@@ -91,6 +91,8 @@ def copies(
         F.col(source).isNotNull().alias("has"),
         order.alias("_order"),
         F.xxhash64(F.col(text)).alias("_tie"),
+        # A null is not the same as nothing: it must not let the hashes of two columns change places.
+        F.xxhash64(*(x for c in carry for x in (F.col(c).isNull(), F.col(c)))).alias("_others") if carry else F.lit(0).alias("_others"),
         *(F.col(c).alias(f"_carry_{i}") for i, c in enumerate(carry)),
     ).withColumn("bucket", F.substring("_order", 1, digits))
 
@@ -108,7 +110,7 @@ def copies(
         "src", "has", "size", "bucket", F.coalesce(F.sum("n").over(by_bucket), F.lit(0)).alias("earlier")
     ).join(firsts, ["src", "has", "size"])
 
-    within = W.partitionBy("src", "has", "size", "bucket").orderBy("_order", "_key", "_tie")
+    within = W.partitionBy("src", "has", "size", "bucket").orderBy("_order", "_key", "_tie", "_others")
     offset = F.conv(
         F.substring(F.md5(F.concat(F.lit(f"{seed}/"), F.col("has").cast("string"), F.lit("/"), F.col("src"))), 1, 8), 16, 10
     ).cast("decimal(38,0)")

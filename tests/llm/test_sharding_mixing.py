@@ -137,3 +137,14 @@ def test_hot_source_and_size_are_spread(spark):
     assert found.count() in (10000, 10001)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_mix_is_the_same_for_shuffled_rows_that_differ_in_other_columns(spark):
+    rows = [(1, "a b c", f"l{i}", "s", i if i % 2 else None) for i in range(9)] + [(2, "d e", "en", "s", 1)]
+    rows += [(3, "f", None, "t", 4), (3, "f", "4", "t", None)]
+    layout = "doc_id long, text string, lang string, source string, n_chars long"
+    found = set()
+    for turn in range(6):
+        df = spark.createDataFrame(rows[turn:] + rows[:turn], layout).repartition(1 + turn % 3)
+        found.add(tuple(sorted(map(tuple, mixing.mixed(df, weights=(3, 1, 2), share=1.2, most=2.0).collect()), key=repr)))
+    assert len(found) == 1
