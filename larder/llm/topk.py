@@ -10,6 +10,7 @@ verified by the full product.
 
 from __future__ import annotations
 
+import decimal
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -92,19 +93,27 @@ def unpacked(ids: bytes, values: bytes, width: int) -> tuple[np.ndarray, np.ndar
 
 
 def products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Inner products of whole-numbered rows, exact."""
+    """Inner products of whole-numbered rows, exact: 64-bit numbers, or Python's where these might not do."""
     width = min(left.shape[1], right.shape[1])
     left, right = left[:, :width], right[:, :width]
     if np.abs(left).max(initial=0) * np.abs(right).max(initial=0) * max(1, width) < EXACT:
         return (left @ right.T).astype(np.int64)
     big = lambda x: np.array([[int(v) for v in row] for row in x], object).reshape(x.shape)
-    exact = big(left) @ big(right).T if width else np.zeros((len(left), len(right)), object)
-    return np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
+    return big(left) @ big(right).T if width else np.zeros((len(left), len(right)), np.int64)
+
+
+def shown(scores: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Scores within 64 bits, and how far those are beyond that do not fit."""
+    if scores.dtype != object:
+        return pa.array(scores.astype(np.int64)), pa.nulls(len(scores), pa.decimal128(38, 0))
+    held = [min(max(int(x), -(2**63)), 2**63 - 1) for x in scores]
+    beyond = [decimal.Decimal(min(max(int(x) - h, 1 - 10**38), 10**38 - 1)) for x, h in zip(scores, held)]
+    return pa.array(held, pa.int64()), pa.array(beyond, pa.decimal128(38, 0))
 
 
 def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k highest scores, equal scores by id."""
-    if len(scores) > 4 * k:
+    if len(scores) > 4 * k and scores.dtype != object:
         limit = np.partition(scores, len(scores) - k)[len(scores) - k]
         near = np.flatnonzero(scores >= limit)
         return near[np.lexsort((ids[near], -scores[near]))[:k]]
@@ -151,17 +160,16 @@ def top_k(
     products of floor(scale * component), equal scores by smaller key; all if there are fewer. Rows with the query's own
     key are no candidates.
 
-    Rows with a null key, a null vector, or one with a null or non-finite component take no part. Of rows that repeat a key, the one
-    whose vector is smallest counts. Vectors of different widths are compared over their common components. Scores beyond 64
-    bits are held at the limit. Queries are taken against all rows in blocks; a task holds one block of each.
+    Rows with a null key, a null vector, or one with a null or non-finite component take no part. Rows that repeat a key are candidates
+    each, and as queries they share one ranking of all their products. Vectors of different widths are compared over their common
+    components. Scores beyond 64 bits are shown as the limit and ranked by their value (38 digits of it). Queries are taken against all rows in blocks; a task holds one block of each.
     """
     clean = (
         points.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
         .where("id is not null and vector is not null")
         .where(F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
     )
-    one = clean.groupBy("id").agg(F.min("vector").alias("vector"))
-    sized = one.withColumn("length", F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+    sized = clean.withColumn("length", F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
     ordered = sized.repartitionByRange(F.desc("length"), "id").sortWithinPartitions(F.desc("length"), "id")
     blocks = stored(
         ordered.select("id", "vector").mapInArrow(pack(settings.block_rows, settings.block_bytes, scale), PACKED), "vectors"
@@ -223,13 +231,13 @@ def top_k(
                         [
                             pa.array(np.repeat(query_ids[[i for i, _, _ in hits]], [len(x) for _, x, _ in hits])),
                             pa.array(np.concatenate([x for _, x, _ in hits])),
-                            pa.array(np.concatenate([s for _, _, s in hits])),
+                            *shown(np.concatenate([s for _, _, s in hits])),
                         ],
-                        names=["query_id", "vec_id", "score"],
+                        names=["query_id", "vec_id", "score", "beyond"],
                     )
 
-    hits = work.mapInArrow(found, "query_id long, vec_id long, score long")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    hits = work.mapInArrow(found, "query_id long, vec_id long, score long, beyond decimal(38,0)")
+    order = W.partitionBy("query_id").orderBy(F.desc("score"), F.coalesce("beyond", F.lit(0)).desc(), "vec_id")
     return (
         hits.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
