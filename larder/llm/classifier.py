@@ -17,16 +17,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.llm import subwords
+from larder.llm.store import stored
 from larder.llm.words import merged
 
 BLOCK_BYTES = 2 << 20
 BIN_BITS = 16
+LARGE = 64  # texts above this part of what a class may have come last
 
 
 @dataclass(frozen=True)
 class Sample:
     """Bounds of the training sample: ``rows`` labelled texts of each class, in the order of a hash of their
-    key, and ``text_bytes`` bytes of text over all."""
+    key, and ``text_bytes`` bytes of text over all, half of them for a class. Texts above a 64th of that half come after all others, and one
+    above the half is left out; a class that has labels and no text that fits is an error."""
 
     rows: int = 2500
     text_bytes: int = 32 << 20
@@ -54,25 +57,31 @@ def training_sample(
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).where(learn(F.col("key")))
     marks, rank = marked(labels, key, label), F.xxhash64(F.lit(1), "key")
+    share = bounds.text_bytes // 2
     # Ranks come in bins of equal width. Those up to the bin with the last wanted row of a class are enough, so that the
     # exact order below is made of few rows, however many are labelled.
     part = F.shiftrightunsigned(rank.bitwiseXOR(F.lit(-(1 << 63))), 64 - BIN_BITS)
-    bins = rows.select("key").distinct().join(marks, "key").groupBy("label", part.alias("bin")).count()
-    upto = Win.partitionBy("label").orderBy("bin").rowsBetween(Win.unboundedPreceding, -1)
+    hashed = rows.select("key", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"), F.xxhash64("text").alias("tie"))
+    labelled = hashed.join(marks, "key").distinct().withColumns({"bin": part, "late": F.col("bytes") > share // LARGE})
+    labelled = stored(labelled, "labelled")
+    # Large texts stand behind all others, and one that is more than a class may have is left out.
+    fitting = labelled.where(F.col("bytes") <= share)
+    bins = fitting.groupBy("label", "late", "bin").agg(F.count(F.lit(1)).alias("count"))
+    upto = Win.partitionBy("label").orderBy("late", "bin").rowsBetween(Win.unboundedPreceding, -1)
     last = (
         bins.withColumn("before", F.coalesce(F.sum("count").over(upto), F.lit(0)))
         .where(F.col("before") < bounds.rows)
         .groupBy("label")
-        .agg(F.max("bin").alias("last"))
+        .agg(F.max(F.struct("late", "bin")).alias("last"))
     )
-    sized = rows.select("key", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"), F.xxhash64("text").alias("tie")).distinct()
     # ``last`` has one row for each of the two classes.
-    near = sized.join(marks.withColumn("bin", part), "key").join(F.broadcast(last), "label").where("bin <= last")
-    by_rank = Win.partitionBy("label").orderBy("rank", "key", "tie")
-    # A row number limit: every task sends on at most ``rows`` rows of a class.
+    near = fitting.join(F.broadcast(last), "label").where(F.struct("late", "bin") <= F.col("last"))
+    by_rank = Win.partitionBy("label").orderBy("late", "rank", "key", "tie")
+    # A row number limit: every task sends on at most ``rows`` rows of a class. The windows by label see at most two bins of ranks for
+    # each and ``rows`` rows of a class.
     first = near.withColumn("rank", rank).withColumn("n", F.row_number().over(by_rank)).where(F.col("n") <= bounds.rows)
     until = Win.partitionBy("label").orderBy("n").rowsBetween(Win.unboundedPreceding, 0)
-    chosen = first.withColumn("sum", F.sum("bytes").over(until)).where(F.col("sum") <= bounds.text_bytes // 2)
+    chosen = first.withColumn("sum", F.sum("bytes").over(until)).where(F.col("sum") <= share)
     # At most 2 * rows keys, and as many texts with at most ``text_bytes`` bytes.
     texts = (
         rows.withColumn("tie", F.xxhash64("text"))
@@ -82,6 +91,9 @@ def training_sample(
         .toArrow()
         .sort_by([("label", "ascending"), ("n", "ascending")])
     )
+    classes = {row["label"] for row in labelled.select("label").distinct().collect()}
+    if lost := classes - set(texts.column("label").to_pylist()):
+        raise ValueError(f"no text of class {sorted(lost)} fits into the sample")
     found = texts.column("text").combine_chunks().fill_null("")
     return found, np.asarray(texts.column("label"), dtype=np.int64)
 

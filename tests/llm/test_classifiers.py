@@ -64,3 +64,29 @@ def test_held_out_toxicity_ranks(spark):
     bad, good = [r.score for r in rows if r.toxic], [r.score for r in rows if not r.toxic]
     above = np.mean([b > g for b in bad for g in good])
     assert above > 0.75
+
+
+def test_long_texts_do_not_crowd_out_a_class(spark):
+    """The first text in the order of the sample is larger than all of a class's share."""
+    keys = spark.range(200).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    ranked = keys.where("toxic = 1").orderBy(F.xxhash64(F.lit(1), "doc_id"))
+    first = ranked.first().doc_id
+    text = F.when(F.col("doc_id") == first, F.repeat(F.lit("x"), 18 << 20)).otherwise(F.concat(F.lit("word "), "doc_id"))
+    docs = keys.select("doc_id", text.alias("text"))
+    every = lambda key: F.lit(True)
+    texts, marks = classifier.training_sample(docs, keys, "doc_id", "text", "toxic", every, classifier.Sample())
+    assert [(marks == c).sum() for c in (0, 1)] == [100, 99]
+    # Large ones that fit stand last.
+    few = classifier.Sample(rows=100, text_bytes=40_000)
+    large = docs.select("doc_id", F.when(F.col("doc_id") == first, F.repeat(F.lit("y"), 12_000)).otherwise(F.col("text")).alias("text"))
+    texts, marks = classifier.training_sample(large, keys, "doc_id", "text", "toxic", every, few)
+    assert [(marks == c).sum() for c in (0, 1)] == [100, 100] and len(texts[199].as_py()) == 12_000
+
+
+def test_a_class_without_a_text_that_fits_is_an_error(spark):
+    docs = spark.createDataFrame([(1, "a" * 5000), (2, "b")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    with pytest.raises(ValueError):
+        classifier.training_sample(
+            docs, labels, "doc_id", "text", "toxic", lambda key: F.lit(True), classifier.Sample(10, 2000)
+        )
