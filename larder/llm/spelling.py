@@ -119,19 +119,13 @@ def visits(words: DataFrame, classes: int, most: int = SLICE) -> DataFrame:
     """Each word at its own cell (``role`` 0) and as a guest at half of the neighbour cells (1: equal length, 2: words there are one
     longer), so that each pair of cells meets once. Cells of more than ``most`` words come in slices: own words are dealt
     to them and are guests of the slices before, other guests visit all."""
-    placed = words.withColumn("own", cell_counts(F.col("word"), classes))
-    moved = F.array(
-        *[
-            F.struct(
-                F.lit(role).alias("role"),
-                F.array(*[F.get("own", F.lit(k)) + F.lit(d) for k, d in enumerate(move)]).alias("at"),
-            )
-            for role, move in _moves(classes)
-        ]
-    )
-    rows = placed.select("word", "n", F.explode(moved).alias("visit"))
+    # Spread out again: few files of words become many visits.
+    placed = words.repartition("word").withColumn("own", cell_counts(F.col("word"), classes))
+    moves = F.array(*[F.struct(F.lit(r).alias("role"), F.array(*map(F.lit, m)).alias("move")) for r, m in _moves(classes)])
+    rows = placed.select("word", "n", "own", F.explode(moves).alias("visit"))
     code = lambda c: F.array_join(c, ".")
-    rows = rows.select("word", "n", "visit.role", code(F.col("visit.at")).alias("cell"), F.lit(0).alias("slice"))
+    at = F.zip_with("own", "visit.move", lambda a, b: a + b)
+    rows = rows.select("word", "n", "visit.role", code(at).alias("cell"), F.lit(0).alias("slice"))
     rows = rows.where(~F.contains("cell", F.lit("-")))
     large = placed.groupBy(code(F.col("own")).alias("cell")).agg(F.count(F.lit(1)).alias("size"))
     large = stored(large.where(F.col("size") > most), "large-cells")
