@@ -331,6 +331,13 @@ oracle(
     ),
 )
 
+oracle(
+    "upsert_stored",
+    with_versions(
+        f"SELECT code, {KEYS}, CAST(event_date AS varchar) AS event_date FROM {_NEWEST_PRODUCT}"
+    ),
+)
+
 # --- whole silver table -------------------------------------------------------------------------
 
 oracle(
@@ -832,6 +839,16 @@ FROM (
 )
 WHERE position = 1 OR nova_before IS DISTINCT FROM nova_group OR countries_before IS DISTINCT FROM countries"""
 )
+# Versions by a join on the interval; the event merge of the other side has no such join.
+oracle(
+    "fact_versions",
+    f"""WITH history AS ({_HISTORY}),
+facts AS ({with_snapshots('SELECT code, event_date, sugars_100g, nova_group FROM snapshots')})
+SELECT f.code, CAST(strftime(f.event_date, '%Y%m%d') AS integer) AS time_sk, f.sugars_100g, f.nova_group,
+  h.nova_group AS version_group, h.countries, h.effective_from
+FROM facts f LEFT JOIN history h ON h.code = f.code AND f.event_date >= CAST(h.effective_from AS date)
+  AND f.event_date < CAST(h.effective_to AS date)""",
+)
 oracle("scd2_history", _HISTORY)
 oracle("scd2_extend", _HISTORY)
 

@@ -27,6 +27,7 @@ from larder.plans import star as star_plan
 from larder.schemas import BRONZE, GOLD, LOAD_KEYS
 from larder.sources import readers, sinks
 from larder.sources.tables import ParquetTable
+from larder.sources.upsert import KeyedTable
 from larder.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,6 +187,17 @@ def upsert(spark: SparkSession, folder: str) -> DataFrame:
     return merged.select(*ROW_KEY, *_text("event_date"))
 
 
+@query
+def upsert_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``upsert``, into a stored table and with the second load twice."""
+    rows = S.with_event_time(fx.versions(spark, folder)).select(*ROW_KEY, "last_modified_ts", "event_date", "ship_date")
+    table = KeyedTable(f"{scratch_folder(spark)}/products", rows.schema, ("code",), parts=16)
+    late = F.col("ship_date") >= CUT
+    for load in (rows.where(~late), rows.where(late), rows.where(late)):
+        table.upsert(load, F.col("last_modified_ts"), fx.TIE_BREAKERS)
+    return table.read(spark).select(*ROW_KEY, *_text("event_date"))
+
+
 # --- whole silver table -------------------------------------------------------------------------
 
 
@@ -742,3 +754,21 @@ def scd2_extend(spark: SparkSession, folder: str) -> DataFrame:
         stored, late, "code", "ship_date", HISTORY_ATTRIBUTES, tie_breakers=fx.TIE_BREAKERS
     )
     return _history_view(extended)
+
+
+@query
+def fact_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts with the version of the product that was valid at their date."""
+    kept = history.version_history(
+        fx.versions(spark, folder), "code", "ship_date", HISTORY_ATTRIBUTES, tie_breakers=fx.TIE_BREAKERS
+    )
+    fact = star_plan.fact_with_versions(fx.snapshots(spark, folder), kept)
+    product = star_plan.dim_product(fx.products(spark, folder)).select("product_sk", "code")
+    named = kept.select(
+        star_plan.version_key(F.col("code"), F.col("effective_from")).alias("version_sk"),
+        F.col("nova_group").alias("version_group"),
+        "countries",
+        F.col("effective_from").cast("string").alias("effective_from"),
+    )
+    rows = fact.join(product, "product_sk").join(named, "version_sk", "left")
+    return rows.select("code", "time_sk", "sugars_100g", "nova_group", "version_group", "countries", "effective_from")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from larder.functions import keys as K
 from larder.functions import text as X
-from larder.operators import hierarchy
+from larder.operators import asof, hierarchy
 from larder.operators.columns import conform, plain_names
 from larder.operators.dedup import distinct_keys, keep_latest
 from larder.schemas import (
@@ -252,3 +252,19 @@ def build_star(
         "fact_nutrition_snapshot": lambda: (fact_rows if unresolved else fact_nutrition_snapshot)(snapshots),
     }
     return {name: makers[name]() for name in names}
+
+
+def version_key(code: Column, begin: Column) -> Column:
+    """Key of one version of a product: of its code and the day it begins."""
+    return K.surrogate_key(F.when(code.isNotNull() & begin.isNotNull(), F.concat(code, F.lit("|"), begin.cast("date").cast("string"))))
+
+
+def fact_with_versions(silver: DataFrame, history: DataFrame) -> DataFrame:
+    """The fact with ``version_sk``: the version of the product (a row of ``history`` by ``code``) that was valid at the fact's date."""
+    values = {"version_sk": version_key(F.col("code"), F.col("effective_from"))}
+    rows = asof.with_version(conform(silver, SILVER), history, "code", "event_date", values)
+    linked = fact_rows(rows.drop("version_sk")).schema
+    keyed = plain_names(rows).withColumns(
+        {"product_sk": K.surrogate_key(X.blank_to_null(F.col("code"))), "time_sk": K.date_key(F.col("event_date"))}
+    )
+    return keyed.select(*[F.col(f.name).cast(f.dataType) for f in linked], "version_sk").dropna(subset=["product_sk", "time_sk"])

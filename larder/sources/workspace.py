@@ -7,6 +7,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _place(spark, path)
+    return files.exists(place)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or a folder, if it is there."""
+    files, place = _place(spark, path)
+    files.delete(place, True)
+
+
 class Workspace:
     """A new folder in a file system that all executors share. What is stored there survives lost executors and cuts
     the lineage; ``remove`` and ``close`` delete it."""
@@ -24,17 +40,13 @@ class Workspace:
 
     def remove(self, table: DataFrame) -> None:
         """Delete a table that ``store`` returned and nothing reads any more."""
-        self._delete(table._stored_at)
+        delete(self.spark, table._stored_at)
 
     def close(self) -> None:
-        self._delete(self.folder)
+        delete(self.spark, self.folder)
 
     def __enter__(self) -> Workspace:
         return self
 
     def __exit__(self, *_) -> None:
         self.close()
-
-    def _delete(self, path: str) -> None:
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)

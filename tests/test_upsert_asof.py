@@ -1,0 +1,149 @@
+"""Upserts into stored tables, and versions valid at a date."""
+
+import datetime as dt
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from larder.operators import asof
+from larder.schemas import SILVER
+from larder.plans import star
+from larder.sources import upsert
+from larder.sources.upsert import KeyedTable, UpsertResult
+
+LAYOUT = "code string, t long, name string"
+
+
+def table(spark, tmp_path, parts=4):
+    schema = spark.createDataFrame([], LAYOUT).schema
+    return KeyedTable(f"{tmp_path}/table", schema, ("code",), parts)
+
+
+def take(spark, target, rows):
+    return target.upsert(spark.createDataFrame(rows, LAYOUT).repartition(2), F.col("t"))
+
+
+def content(spark, target):
+    return sorted(map(tuple, target.read(spark).collect()))
+
+
+def files(target):
+    found = {}
+    for folder, _, names in os.walk(target.path):
+        for name in names:
+            if name.endswith(".parquet"):
+                path = os.path.join(folder, name)
+                found[path] = os.stat(path).st_mtime_ns
+    return found
+
+
+def test_upserts_equal_a_plain_dictionary(spark, tmp_path):
+    r, target, plain = random.Random(4), table(spark, tmp_path), {}
+    for _ in range(4):
+        rows = [(f"c{r.randrange(30)}", r.randrange(50), "x") for _ in range(40)]
+        before = dict(plain)
+        for row in rows:
+            if row[0] not in plain or row[1] > plain[row[0]][1]:
+                plain[row[0]] = row
+        result = take(spark, target, [*rows, (None, 99, "no key")])
+        changed = {c for c in before if before[c][1] != plain[c][1]}
+        assert (result.inserted, result.updated) == (len(set(plain) - set(before)), len(changed))
+        assert [(c, t) for c, t, _ in content(spark, target)] == sorted((c, t) for c, t, _ in plain.values())
+
+
+def test_only_folders_with_news_are_written(spark, tmp_path):
+    target = table(spark, tmp_path, parts=16)
+    rows = [(f"c{i}", 1, "old") for i in range(200)]
+    assert take(spark, target, rows) == UpsertResult(200, 0, 16)
+    before = files(target)
+    assert take(spark, target, rows) == UpsertResult(0, 0, 0)
+    assert take(spark, target, [("c5", 0, "too late")]) == UpsertResult(0, 0, 0)
+    assert files(target) == before
+    assert take(spark, target, [("c5", 2, "new"), ("c7", 1, "old")]) == UpsertResult(0, 1, 1)
+    after = files(target)
+    assert len({os.path.dirname(p) for p in set(before) ^ set(after)}) == 1
+    assert ("c5", 2, "new") in content(spark, target) and len(content(spark, target)) == 200
+
+
+@pytest.mark.parametrize("step", ["before the swap", "after the swap"])
+def test_death_between_write_and_swap_loses_nothing(spark, tmp_path, monkeypatch, step):
+    target = table(spark, tmp_path)
+    take(spark, target, [(f"c{i}", 1, "old") for i in range(20)])
+
+    def dies(self, session):
+        if step == "after the swap":
+            monkeypatch.setattr(upsert, "delete", lambda *_: None)
+            apply(self, session)
+        raise RuntimeError("lost")
+
+    apply, remove = KeyedTable._apply, upsert.delete
+    monkeypatch.setattr(KeyedTable, "_apply", dies)
+    with pytest.raises(RuntimeError):
+        take(spark, target, [("c3", 2, "new"), ("c99", 2, "new")])
+    monkeypatch.setattr(KeyedTable, "_apply", apply)
+    monkeypatch.setattr(upsert, "delete", remove)
+    target.recover(spark)
+    expected = sorted([(f"c{i}", 1, "old") for i in range(20) if i != 3] + [("c3", 2, "new"), ("c99", 2, "new")])
+    assert content(spark, target) == expected
+    assert not os.path.exists(target.pending)
+
+
+def test_death_while_writing_leaves_the_table(spark, tmp_path):
+    target = table(spark, tmp_path)
+    take(spark, target, [("a", 1, "x")])
+    os.makedirs(f"{target.pending}/part=0")
+    target.recover(spark)
+    assert content(spark, target) == [("a", 1, "x")] and not os.path.exists(target.pending)
+
+
+def day(n):
+    return dt.date(2020, 1, 1) + dt.timedelta(days=n)
+
+
+@pytest.mark.parametrize("range_days", [1, 7, 64, 10_000])
+def test_versions_equal_a_search(spark, range_days):
+    r = random.Random(range_days)
+    versions, facts = [], []
+    for code in "abcd":
+        starts = sorted(r.sample(range(0, 400), 12))
+        for i, start in enumerate(starts):
+            end = starts[i + 1] if i + 1 < len(starts) else None
+            if end is not None and r.random() < 0.2:
+                end -= 1 if end - start > 1 else 0
+            versions.append((code, day(start), None if end is None else day(end), f"{code}{i}"))
+    facts = [(r.choice("abcde"), day(r.randrange(-20, 450)), i) for i in range(400)] + [(None, day(3), 1), ("a", None, 2)]
+    v = spark.createDataFrame([*versions, (None, day(1), None, "z"), ("a", None, None, "z")], "code string, effective_from date, effective_to date, label string")
+    f = spark.createDataFrame(facts, "code string, d date, n long").repartition(3)
+    found = asof.with_version(f, v, "code", "d", {"label": F.col("label"), "since": F.col("effective_from")}, range_days=range_days)
+    expected = []
+    for code, at, n in facts:
+        hit = [x for x in versions if at is not None and x[0] == code and x[1] <= at and (x[2] is None or at < x[2])]
+        assert len(hit) <= 1
+        expected.append((code, at, n, hit[0][3] if hit else None, hit[0][1] if hit else None))
+    assert sorted(map(tuple, found.select("code", "d", "n", "label", "since").collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_hot_key_is_cut_into_ranges(spark):
+    """No window holds more rows of a key than a range has days (and versions)."""
+    f = spark.range(4000).select(F.lit("hot").alias("code"), F.date_add(F.lit(day(0)), F.col("id").cast("int")).alias("d"))
+    v = spark.createDataFrame([("hot", day(0), None, "x")], "code string, effective_from date, effective_to date, label string")
+    found = asof.valid_versions(f, v, "code", "d", values=["label"])
+    assert found.where("label = 'x'").count() == 4000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_fact_carries_the_valid_version(spark):
+    silver = spark.createDataFrame(
+        [("1", day(5), 1.0), ("1", day(30), 2.0), ("2", day(5), 3.0), (None, day(5), 4.0)], "code string, event_date date, sugars_100g double"
+    )
+    kept = spark.createDataFrame(
+        [("1", day(0), day(20), "old"), ("1", day(20), None, "new"), ("2", day(9), None, "later")],
+        "code string, effective_from date, effective_to date, label string",
+    )
+    fact = star.fact_with_versions(silver, kept)
+    keys = {r.k: r.label for r in kept.select(star.version_key(F.col("code"), F.col("effective_from")).alias("k"), "label").collect()}
+    assert {(r.sugars_100g, keys.get(r.version_sk)) for r in fact.collect()} == {(1.0, "old"), (2.0, "new"), (3.0, None)}
+    assert set(star.fact_rows(silver).columns) < set(fact.columns) and "code" in SILVER.names
