@@ -20,7 +20,7 @@ def test_oracle(spark, name):
 def test_all_are_registered():
     names = __spark_entry__.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_stages_in_turn(spark, ranks):
