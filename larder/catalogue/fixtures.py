@@ -170,3 +170,50 @@ def category_lists(spark: SparkSession, folder: str) -> DataFrame:
     parts = table(spark, folder, "part").select("p_partkey", "p_size", *_expressions(CATEGORY_LISTS))
     codes = F.array_distinct(F.array_compact(F.array(*CATEGORY_LISTS)))
     return parts.select("p_partkey", F.when(F.col("p_size") % 9 == 0, F.reverse(codes)).otherwise(codes).alias("codes"))
+
+
+# Lines of a dump with four columns, some of them short, long or badly quoted.
+DUMP_HEADER = ("code", "product_name", "brands", "countries")
+_TAB, _QUOTE = "chr(9)", "chr(34)"
+DUMP_LINE = f"""case
+  when l_orderkey % 11 = 0 then concat(code, {_TAB}, brands)
+  when l_orderkey % 11 = 1 then concat(code, {_TAB}, product_name, {_TAB}, brands, {_TAB}, countries, {_TAB}, 'more')
+  when l_orderkey % 11 = 2 then concat(code, {_TAB}, {_QUOTE}, product_name, {_TAB}, brands, {_TAB}, countries)
+  when l_orderkey % 11 = 3 then concat(code, {_TAB}, product_name, {_TAB}, {_QUOTE}, brands, {_QUOTE}, 'x', {_TAB}, countries)
+  when l_orderkey % 11 = 4 then concat(code, {_TAB}, product_name, {_TAB}, {_QUOTE}, {_QUOTE}, {_QUOTE}, brands, {_QUOTE}, {_QUOTE}, {_TAB}, {_QUOTE}, {_TAB}, countries)
+  else concat(code, {_TAB}, product_name, {_TAB}, brands, {_TAB}, countries) end"""
+
+
+def dump_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return versions(spark, folder).select(F.expr(DUMP_LINE).alias("value"))
+
+
+def write_dump(lines: DataFrame, path: str) -> None:
+    """Lines as they are, under the header in each file."""
+    raw = {"header": True, "sep": "\u0001", "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.toDF("\t".join(DUMP_HEADER)).write.options(**raw).csv(path)
+
+
+# The same parties as two systems would send them: nested and with other names, or flat with numbers as text.
+NESTED_DOCUMENT = {
+    "id": "c_custkey",
+    "party": "named_struct('names', array(c_name, 'alias'), 'home', named_struct('nation', c_nationkey))",
+    "account": "named_struct('balance', c_acctbal)",
+    "segment": "c_mktsegment",
+}
+FLAT_DOCUMENT = {
+    "supplier_id": "cast(s_suppkey as string)",
+    "title": "s_name",
+    "nation": "cast(s_nationkey as string)",
+    "saldo": "case when s_suppkey % 3 = 0 then 'unknown' else cast(s_acctbal as string) end",
+}
+
+
+def party_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON text, one object a line, in two shapes."""
+    shapes = {"customer": NESTED_DOCUMENT, "supplier": FLAT_DOCUMENT}
+    parts = [
+        table(spark, folder, name).select(F.to_json(F.struct(*_expressions(columns))).alias("value"))
+        for name, columns in shapes.items()
+    ]
+    return parts[0].unionAll(parts[1])

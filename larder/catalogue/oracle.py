@@ -9,6 +9,7 @@ from __future__ import annotations
 from larder.catalogue.fixtures import (
     CATALOGUE_COLUMNS,
     CATEGORY_LISTS,
+    DUMP_LINE,
     OFFER_COLUMNS,
     SHOP_COLUMNS,
     TIE_BREAKERS,
@@ -871,6 +872,36 @@ oracle(
 FROM ({ORACLE_SQL["audit_counts"]})""",
 )
 
+# --- broken lines, documents of unlike shapes ---------------------------------------------------
+
+_REASON = """case when l_orderkey % 11 = 0 then 'short' when l_orderkey % 11 = 1 then 'long'
+  when l_orderkey % 11 in (2, 3) then 'quoting' end"""
+oracle(
+    "quarantine_lines",
+    with_versions(
+        f"""SELECT CASE WHEN reason IS NULL THEN code END AS code,
+  CASE WHEN reason IS NULL THEN nullif(product_name, '') END AS product_name,
+  CASE WHEN reason IS NULL THEN CASE WHEN l_orderkey % 11 = 4 THEN concat(chr(34), brands, chr(34), chr(9)) ELSE brands END END AS brands,
+  CASE WHEN reason IS NULL THEN countries END AS countries,
+  reason, CASE WHEN reason IS NOT NULL THEN line END AS line
+FROM (SELECT *, {_REASON} AS reason, {DUMP_LINE} AS line FROM versions)"""
+    ),
+)
+oracle(
+    "sources_variant",
+    """SELECT c_custkey AS party_id, c_name AS name, c_nationkey AS nation, c_acctbal AS balance, c_mktsegment AS segment
+FROM customer
+UNION ALL
+SELECT s_suppkey, s_name, s_nationkey, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_acctbal END, NULL FROM supplier""",
+)
+oracle(
+    "sources_variant_fields",
+    """SELECT f.name, f.type, n FROM (SELECT count(*) AS n FROM customer), (VALUES ('id', 'BIGINT'), ('segment', 'STRING'),
+  ('party', 'OBJECT<home: OBJECT<nation: BIGINT>, names: ARRAY<STRING>>'), ('account', 'OBJECT<balance: DECIMAL>')) AS f(name, type)
+UNION ALL
+SELECT f.name, 'STRING', n FROM (SELECT count(*) AS n FROM supplier), (VALUES ('supplier_id'), ('title'), ('nation'), ('saldo')) AS f(name)""",
+)
+
 # --- category hierarchy -------------------------------------------------------------------------
 
 

@@ -25,7 +25,7 @@ from larder.plans import jobs, reports
 from larder.plans import silver as S
 from larder.plans import star as star_plan
 from larder.schemas import BRONZE, GOLD, LOAD_KEYS
-from larder.sources import readers, sinks
+from larder.sources import quarantine, readers, sinks, variants
 from larder.sources.tables import ParquetTable
 from larder.sources.upsert import KeyedTable
 from larder.sources.workspace import Workspace
@@ -253,6 +253,17 @@ def bronze_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return plain_names(readers.read_bronze(spark, path))
 
 
+@query
+def quarantine_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """A dump with broken lines: what was parsed, and what was set aside for which reason."""
+    path = scratch_folder(spark)
+    fx.write_dump(fx.dump_lines(spark, folder), f"{path}/dump")
+    quarantine.store_lines(spark, f"{path}/dump", f"{path}/lines")
+    good = quarantine.good_lines(spark, f"{path}/lines").select(*fx.DUMP_HEADER)
+    broken = quarantine.broken_lines(spark, f"{path}/lines").select("reason", "line")
+    return good.unionByName(broken, allowMissingColumns=True)
+
+
 @query
 def sample_csv_view(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{scratch_folder(spark)}/products"
@@ -665,6 +676,30 @@ def sources_json(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def sources_variant(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents in two shapes, no layout declared."""
+    path = f"{scratch_folder(spark)}/documents"
+    fx.party_documents(spark, folder).write.text(path)
+    return variants.as_contract(variants.read_documents(spark, path), PARTY, PARTY_PATHS).drop("file")
+
+
+PARTY_PATHS = {
+    "party_id": ["$.id", "$.supplier_id"],
+    "name": ["$.party.names[0]", "$.title"],
+    "nation": ["$.party.home.nation", "$.nation"],
+    "balance": ["$.account.balance", "$.saldo"],
+}
+
+
+@query
+def sources_variant_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """Names and types that the documents of both shapes hold."""
+    path = f"{scratch_folder(spark)}/documents"
+    fx.party_documents(spark, folder).write.text(path)
+    return variants.document_paths(variants.read_documents(spark, path))
+
+
 @query
 def sources_xml(spark: SparkSession, folder: str) -> DataFrame:
     return _through_files(
