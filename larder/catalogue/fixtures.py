@@ -98,6 +98,87 @@ def star(
     )
 
 
+def stored_star(spark: SparkSession, folder: str, scratch: str) -> dict[str, DataFrame]:
+    """Gold tables, written under ``scratch`` and read back."""
+    for name, silver in {"products": products(spark, folder), "snapshots": snapshots(spark, folder)}.items():
+        silver.write.parquet(f"{scratch}/{name}")
+    stored = [spark.read.parquet(f"{scratch}/{name}") for name in ("products", "snapshots")]
+    for name, rows in build_star(*stored, "primary", GOLD).items():
+        rows.write.parquet(f"{scratch}/star/{name}")
+    return {name: spark.read.schema(GOLD[name]).parquet(f"{scratch}/star/{name}") for name in GOLD}
+
+
+# What is broken in each table: rows that go, columns that change, and rows that come twice, with columns changed in the copies.
+# Conditions and values are the same text on both engines.
+GONE = {
+    "dim_time": "month = 2",
+    "dim_brand": "brand_name like '%3%'",
+    "dim_category": "category_code like 'e%'",
+    "dim_product": "code like '%5'",
+}
+CHANGED = {
+    "dim_time": {},
+    "dim_brand": {
+        "brand_name": "case when brand_name like '%1%' then null when brand_name like '%2%' then repeat(brand_name, 100) else brand_name end"
+    },
+    "dim_category": {"category_name_fr": "case when category_code like '%s' then repeat('n', 501) end"},
+    "dim_country": {},
+    "dim_product": {
+        "product_name": "case when code like '%4' then repeat(concat(product_name, '-'), 2000) else product_name end",
+        "effective_to": "case when code like '%7' then effective_from else {end} end",
+        "is_current": "case when code like '%8' then null else is_current end",
+    },
+    "bridge_product_category": {},
+    "fact_nutrition_snapshot": {
+        "nutriscore_grade": "case when time_sk % 100 = 1 then repeat('A', 65) else nutriscore_grade end",
+        "nova_group": "case when time_sk % 100 = 4 then repeat('1', 65) else nova_group end",
+    },
+}
+TWICE = {
+    "dim_time": ("month = 3", {"iso_week": "null"}),
+    "dim_country": ("country_code like '%a%'", {"country_code": "null"}),
+    "dim_category": ("category_code like '%l%'", {}),
+    "dim_product": ("code like '%2'", {"code": "concat('x', code)"}),
+    "bridge_product_category": ("{number} % 10 = 1", {}),
+    "fact_nutrition_snapshot": ("time_sk % 100 = 3", {}),
+}
+
+
+def broken_star(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The star with faults of every kind, surrogate keys as they were; categories point to themselves or nowhere."""
+    broken = {}
+    # The surrogate key says nothing, so pairs are chosen by the code of their product.
+    codes = star["dim_product"].select("product_sk", F.expr("cast(code as bigint)").alias("__number"))
+    for name, rows in star.items():
+        if name == "bridge_product_category":
+            rows = rows.join(codes, "product_sk")
+        if name in GONE:
+            rows = rows.where(f"not ({GONE[name]})")
+        if name in TWICE:
+            condition, changes = TWICE[name]
+            copies = rows.where(condition.format(number="__number"))
+            copies = copies.withColumns({c: F.expr(sql).cast(GOLD[name][c].dataType) for c, sql in changes.items()})
+            rows = rows.unionAll(copies)
+        if name == "dim_category":
+            parent = "case when length(category_code) % 3 = 0 then category_sk when length(category_code) % 3 = 1 then -1 end"
+            rows = rows.withColumn("parent_category_sk", F.expr(parent))
+        changes = {c: F.expr(sql.format(end=c)).cast(GOLD[name][c].dataType) for c, sql in CHANGED[name].items()}
+        broken[name] = (rows.withColumns(changes) if changes else rows).select(*GOLD[name].names)
+    return broken
+
+
+# Rows of the stored silver table that lack what the fact needs.
+GAPS = {
+    "code": "case when code like '%3' then null when code like '%6' then '' else code end",
+    "event_date": "case when {code} % 7 = 0 then null else event_date end",
+}
+
+
+def gapped_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    rows = snapshots(spark, folder)
+    return rows.withColumns({c: F.expr(sql.format(code="cast(code as bigint)")) for c, sql in GAPS.items()})
+
+
 # Two sources that name the same things: the part list, and offers whose titles carry typing errors.
 CATALOGUE_COLUMNS = {
     "record_id": "cast(p_partkey as varchar(20))",

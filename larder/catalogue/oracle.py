@@ -9,17 +9,21 @@ from __future__ import annotations
 from larder.catalogue.fixtures import (
     CATALOGUE_COLUMNS,
     CATEGORY_LISTS,
+    CHANGED,
     DUMP_LINE,
+    GAPS,
+    GONE,
     OFFER_COLUMNS,
     SHOP_COLUMNS,
     TIE_BREAKERS,
+    TWICE,
     VERSION_COLUMNS,
 )
 from larder.catalogue.queries import CUT
 from larder.functions.nutrients import CORE_NUTRIENTS, NUTRIENT_BOUNDS
 from larder.functions.text import NOISE_VALUES
 from larder.plans.reports import GOOD_GRADES, GRADES, NOISE_BRANDS, NOISE_CATEGORIES
-from larder.schemas import BRONZE_COLUMNS, NUTRIENT_COLUMNS, TEXT_COLUMNS
+from larder.schemas import BRONZE_COLUMNS, FOREIGN_KEYS, MAX_LENGTHS, NUTRIENT_COLUMNS, REQUIRED, TEXT_COLUMNS, UNIQUE_KEYS
 
 
 def _q(name: str) -> str:
@@ -523,6 +527,10 @@ GROUP BY 1, 2 HAVING count(*) >= 20"""
 
 
 oracle("report_weekly_completeness", _weekly("year"))
+oracle(
+    "report_weekly_completeness_span",
+    _weekly("year").replace("WHERE completeness", "WHERE date BETWEEN DATE '1995-11-06' AND DATE '1996-02-25' AND completeness"),
+)
 oracle("report_weekly_completeness_iso_year", _weekly("iso_year"))
 oracle(
     "report_least_complete_categories",
@@ -615,88 +623,90 @@ def _check(check: str, table: str, columns: str, violations: str, source: str) -
     )
 
 
-def _surplus(table: str, columns: str) -> str:
-    here, natural = _TABLES[table]
-    source = f"(SELECT count(*) AS n FROM {here} GROUP BY {natural})"
-    return _check("unique", table, columns, "coalesce(sum(n - 1), 0)", source)
+# Surrogate keys are checked by what they stand for.
+_STANDS_FOR = {
+    "brand_sk": "brand_name",
+    "category_sk": "category_code",
+    "primary_category_sk": "category_code",
+    "country_sk": "country_code",
+    "product_sk": "code",
+    "parent_category_sk": "NULL",
+    "category_name_fr": "CAST(NULL AS varchar)",
+    "country_name_fr": "CAST(NULL AS varchar)",
+    "effective_to": "TIMESTAMP '9999-12-31'",
+}
 
 
-def _orphans(table: str, columns: str, natural: str, parent: str) -> str:
-    source = (
-        f"{_TABLES[table][0]} c WHERE c.{natural} IS NOT NULL "
-        f"AND NOT EXISTS (SELECT 1 FROM {_TABLES[parent][0]} p WHERE p.{natural} = c.{natural})"
-    )
-    return _check("foreign key", table, columns, "count(*)", source)
+def _star_checks(tables: dict[str, str], stands_for: dict[str, str]) -> str:
+    """All checks of the star over these relations; ``stands_for`` gives the column for a key where its name differs."""
 
+    def here(column: str) -> str:
+        return stands_for.get(column, column)
 
-def _missing(table: str, columns: str, natural: str) -> str:
-    return _check("not null", table, columns, f"count(*) FILTER ({natural} IS NULL)", _TABLES[table][0])
+    checks = []
+    for table, keys in UNIQUE_KEYS.items():
+        for key in keys:
+            grouped = f"(SELECT count(*) AS n FROM {tables[table]} GROUP BY {', '.join(map(here, key))})"
+            checks.append(_check("unique", table, ",".join(key), "coalesce(sum(n - 1), 0)", grouped))
+    for child, column, parent, key in FOREIGN_KEYS:
+        orphans = (
+            f"(SELECT {here(column)} AS k FROM {tables[child]}) c WHERE k IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM {tables[parent]} p WHERE p.{here(key)} = c.k)"
+        )
+        checks.append(_check("foreign key", child, column, "count(*)", orphans))
+    for table, columns in REQUIRED.items():
+        checks += [_check("not null", table, c, f"count(*) FILTER ({here(c)} IS NULL)", tables[table]) for c in columns]
+    for table, limits in MAX_LENGTHS.items():
+        for c, limit in limits.items():
+            checks.append(_check("length", table, c, f"count(*) FILTER (length({here(c)}) > {limit})", tables[table]))
+    ends_early = f"count(*) FILTER (NOT ({here('effective_to')} > effective_from))"
+    checks.append(_check("interval", "dim_product", "effective_from,effective_to", ends_early, tables["dim_product"]))
+    return _union(checks)
+
+
+oracle("audit_star", with_star(_star_checks({name: here for name, (here, _) in _TABLES.items()}, _STANDS_FOR)))
+
+# What a surrogate key stands for stays in a column of its own where the natural key is broken.
+_KEPT = {
+    "dim_brand": "*, brand_name AS brand_sk",
+    "dim_category": (
+        "*, category_code AS category_sk, CAST(NULL AS varchar) AS category_name_fr, "
+        "CASE length(category_code) % 3 WHEN 0 THEN category_code WHEN 1 THEN 'nowhere' END AS parent_category_sk"
+    ),
+    "dim_country": "*, country_code AS country_sk, CAST(NULL AS varchar) AS country_name_fr",
+    "dim_product": "*, code AS product_sk, category_code AS primary_category_sk, brand_name AS brand_sk, TIMESTAMP '9999-12-31' AS effective_to",
+    "bridge_product_category": "*, code AS product_sk, category_code AS category_sk",
+    "fact_nutrition_snapshot": "*, code AS product_sk",
+}
 
 
-def _long(table: str, columns: str, expression: str, limit: int) -> str:
-    return _check("length", table, columns, f"count(*) FILTER (length({expression}) > {limit})", _TABLES[table][0])
+def _broken(table: str) -> str:
+    kept = f"SELECT {_KEPT.get(table, '*')} FROM {_TABLES[table][0]} WHERE NOT ({GONE.get(table, 'false')})"
+    condition, changes = TWICE.get(table, ("false", {}))
+    copies = ", ".join(f"{sql} AS {c}" for c, sql in changes.items())
+    condition = condition.format(number="CAST(code AS bigint)")
+    rows = f"SELECT * FROM kept UNION ALL SELECT *{f' REPLACE ({copies})' if copies else ''} FROM kept WHERE {condition}"
+    changed = ", ".join(f"{sql.format(end=c)} AS {c}" for c, sql in CHANGED[table].items())
+    return (
+        f"broken_{table} AS (WITH kept AS ({kept}), both_ AS ({rows}) "
+        f"SELECT *{f' REPLACE ({changed})' if changed else ''} FROM both_)"
+    )
 
 
 oracle(
-    "audit_star",
-    with_star(
-        _union(
-            [
-                _surplus("dim_time", "time_sk"),
-                _surplus("dim_brand", "brand_sk"),
-                _surplus("dim_category", "category_sk"),
-                _surplus("dim_country", "country_sk"),
-                _surplus("dim_country", "country_code"),
-                _surplus("dim_product", "product_sk"),
-                _surplus("dim_product", "code"),
-                _surplus("bridge_product_category", "product_sk,category_sk"),
-                _surplus("fact_nutrition_snapshot", "product_sk,time_sk"),
-                _orphans("dim_product", "brand_sk", "brand_name", "dim_brand"),
-                _orphans("dim_product", "primary_category_sk", "category_code", "dim_category"),
-                _orphans("bridge_product_category", "product_sk", "code", "dim_product"),
-                _orphans("bridge_product_category", "category_sk", "category_code", "dim_category"),
-                _orphans("fact_nutrition_snapshot", "product_sk", "code", "dim_product"),
-                _orphans("fact_nutrition_snapshot", "time_sk", "time_sk", "dim_time"),
-                # No category has a parent in this data.
-                _check("foreign key", "dim_category", "parent_category_sk", "0 * count(*)", "dim_category"),
-                *[
-                    _missing("dim_time", c, c)
-                    for c in ("time_sk", "date", "year", "month", "day", "week", "iso_week")
-                ],
-                _missing("dim_brand", "brand_sk", "brand_name"),
-                _missing("dim_brand", "brand_name", "brand_name"),
-                _missing("dim_category", "category_sk", "category_code"),
-                _missing("dim_category", "category_code", "category_code"),
-                _missing("dim_country", "country_sk", "country_code"),
-                _missing("dim_country", "country_code", "country_code"),
-                _missing("dim_product", "product_sk", "code"),
-                _missing("dim_product", "code", "code"),
-                _missing("dim_product", "effective_from", "effective_from"),
-                _missing("dim_product", "effective_to", "DATE '9999-12-31'"),
-                _missing("dim_product", "is_current", "is_current"),
-                _missing("bridge_product_category", "product_sk", "code"),
-                _missing("bridge_product_category", "category_sk", "category_code"),
-                _missing("fact_nutrition_snapshot", "product_sk", "code"),
-                _missing("fact_nutrition_snapshot", "time_sk", "time_sk"),
-                _long("dim_brand", "brand_name", "brand_name", 500),
-                _long("dim_category", "category_code", "category_code", 500),
-                _long("dim_category", "category_name_fr", "CAST(NULL AS varchar)", 500),
-                _long("dim_country", "country_code", "country_code", 255),
-                _long("dim_country", "country_name_fr", "CAST(NULL AS varchar)", 255),
-                _long("dim_product", "code", "code", 255),
-                _long("dim_product", "product_name", "product_name", 4096),
-                _long("fact_nutrition_snapshot", "nutriscore_grade", "nutriscore_grade", 64),
-                _long("fact_nutrition_snapshot", "nova_group", "nova_group", 64),
-                _long("fact_nutrition_snapshot", "ecoscore_grade", "ecoscore_grade", 64),
-                _check(
-                    "interval",
-                    "dim_product",
-                    "effective_from,effective_to",
-                    "count(*) FILTER (NOT (TIMESTAMP '9999-12-31' > effective_from))",
-                    "dim_product",
-                ),
-            ]
-        )
+    "audit_star_broken",
+    f"WITH {VERSIONS}, {PRODUCTS}, {SNAPSHOTS}, {STAR},\n"
+    + ",\n".join(_broken(name) for name in _TABLES)
+    + "\n"
+    + _star_checks({name: f"broken_{name}" for name in _TABLES}, {}),
+)
+oracle(
+    "load_gaps",
+    with_snapshots(
+        f"""SELECT count(*) - count(*) FILTER (gap) AS inserted, count(*) FILTER (gap) AS rejected,
+  count(*) FILTER (coalesce(code, '') = '') AS without_product, count(*) FILTER (event_date IS NULL) AS without_date
+FROM (SELECT *, coalesce(code, '') = '' OR event_date IS NULL AS gap
+  FROM (SELECT * REPLACE ({GAPS["code"]} AS code, {GAPS["event_date"].format(code="CAST(code AS bigint)")} AS event_date) FROM snapshots))"""
     ),
 )
 
@@ -859,6 +869,7 @@ for _job, _direct in {
     "gold_job_bridge": "bridge_primary",
     "gold_job_fact": "fact_snapshot",
     "silver_job_metrics": "run_metrics",
+    "report_brand_grade_share_laid_out": "report_brand_grade_share",
     "sources_csv": "union_of_sources",
     "sources_json": "union_of_sources",
     "sources_xml": "union_of_sources",

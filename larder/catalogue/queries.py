@@ -25,7 +25,7 @@ from larder.plans import jobs, reports
 from larder.plans import silver as S
 from larder.plans import star as star_plan
 from larder.schemas import BRONZE, GOLD, LOAD_KEYS
-from larder.sources import quarantine, readers, sinks, variants
+from larder.sources import layout, quarantine, readers, sinks, variants
 from larder.sources.tables import ParquetTable
 from larder.sources.upsert import KeyedTable
 from larder.sources.workspace import Workspace
@@ -493,6 +493,17 @@ def load_counts(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, inserted long, rejected long")
 
 
+@query
+def load_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """What the load reports for the fact when codes and dates are missing."""
+    scratch = scratch_folder(spark)
+    sinks.write_parquet(fx.gapped_snapshots(spark, folder), f"{scratch}/silver")
+    results = jobs.run_gold(spark, f"{scratch}/silver", jobs.parquet_tables(f"{scratch}/gold"))
+    fact = results[_FACT]
+    unresolved = jobs.unresolved_facts(readers.read_silver(spark, f"{scratch}/silver"))
+    return unresolved.select(F.lit(fact.inserted).cast("long").alias("inserted"), F.lit(fact.rejected).cast("long").alias("rejected"), "*")
+
+
 @query
 def silver_job_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """The stored metrics record of the silver job, read back."""
@@ -548,6 +559,32 @@ def report_weekly_completeness_iso_year(spark: SparkSession, folder: str) -> Dat
     return reports.weekly_completeness(s[_FACT], s["dim_time"], "iso_year")
 
 
+def _laid_out(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Fact and products laid out in files, and the stored dates."""
+    scratch = scratch_folder(spark)
+    s = fx.star(spark, folder, _FACT, "dim_product", "dim_time")
+    place = layout.LaidOut(f"{scratch}/gold", buckets=8)
+    place.write(s[_FACT], s["dim_product"])
+    sinks.write_parquet(s["dim_time"], f"{scratch}/dim_time")
+    return place.open(spark), spark.read.schema(GOLD["dim_time"]).parquet(f"{scratch}/dim_time")
+
+
+@query
+def report_weekly_completeness_span(spark: SparkSession, folder: str) -> DataFrame:
+    """The weeks around a New Year; only the files of these two years are read."""
+    s, time = _laid_out(spark, folder)
+    days = time.where("date between date'1995-11-06' and date'1996-02-25'")
+    return reports.weekly_completeness(layout.dated(s[_FACT], days), days)
+
+
+@query
+def report_brand_grade_share_laid_out(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact meets the products in the buckets it is stored in."""
+    s, _ = _laid_out(spark, folder)
+    brand = fx.star(spark, folder, "dim_brand")["dim_brand"]
+    return reports.top_brands_by_grade(s[_FACT], s["dim_product"], brand)
+
+
 @query
 def report_least_complete_categories(spark: SparkSession, folder: str) -> DataFrame:
     s = fx.star(spark, folder, _FACT, "dim_product", "dim_category")
@@ -606,7 +643,13 @@ def audit_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def audit_star(spark: SparkSession, folder: str) -> DataFrame:
-    return audit.star_violations(fx.star(spark, folder))
+    return audit.star_violations(fx.stored_star(spark, folder, scratch_folder(spark)))
+
+
+@query
+def audit_star_broken(spark: SparkSession, folder: str) -> DataFrame:
+    """The same checks where something is wrong in each table."""
+    return audit.star_violations(fx.broken_star(fx.stored_star(spark, folder, scratch_folder(spark))))
 
 
 @query

@@ -11,7 +11,7 @@ from larder.operators.append import append_no_dupe, unseen_rows
 from larder.operators.columns import conform
 from larder.plans import jobs, reports
 from larder.plans import star as S
-from larder.schemas import FACT_NUTRITION_SNAPSHOT, GOLD, LOAD_KEYS, SILVER
+from larder.schemas import FACT_NUTRITION_SNAPSHOT, FOREIGN_KEYS, GOLD, LOAD_KEYS, SILVER, UNIQUE_KEYS
 from larder.sources.tables import JdbcTable, ParquetTable
 
 NAMES = "code product_name_pref brand_primary categories_codes countries_codes event_date sugars_100g nutriscore_grade completeness_score".split()
@@ -109,6 +109,37 @@ def test_star_is_sound(star):
     assert report.count() == 49
 
 
+def test_audit_of_a_stored_star_scans_each_table_twice(spark, star, tmp_path):
+    for name, rows in star.items():
+        rows.write.parquet(f"{tmp_path}/{name}")
+    plan = audit.star_violations(jobs.stored_star(spark, str(tmp_path)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 2 * len(star)
+
+
+def test_keys_are_counted_once_for_all_their_checks(spark, star):
+    """Plain counts over collected rows, NULL keys and copies among them."""
+    twice = {name: rows.unionAll(rows.limit(1)) for name, rows in star.items()}
+    none = F.lit(None).cast("long")
+    twice["bridge_product_category"] = star["bridge_product_category"].withColumn("category_sk", none)
+    twice["dim_category"] = twice["dim_category"].withColumn("parent_category_sk", F.lit(7).cast("long"))
+    twice["dim_product"] = twice["dim_product"].where("code <> '1'")
+    rows = {name: df.collect() for name, df in twice.items()}
+    expected = []
+    for table, keys in UNIQUE_KEYS.items():
+        for key in keys:
+            found = [tuple(r[c] for c in key) for r in rows[table]]
+            expected.append(("unique", table, ",".join(key), len(found) - len(set(found))))
+    for child, column, parent, key in FOREIGN_KEYS:
+        known = {r[key] for r in rows[parent]}
+        n = sum(r[column] is not None and r[column] not in known for r in rows[child])
+        expected.append(("foreign key", child, column, n))
+    found = audit.key_violations(twice)
+    assert values(found, "check", "table_name", "columns", "violations") == sorted(expected)
+    assert sum(n > 0 for *_, n in expected) > 8
+    empty = {name: df.limit(0) for name, df in star.items()}
+    assert audit.star_violations(empty).where("violations = 0").count() == 49
+
+
 def test_audits_find_what_is_wrong(spark, star):
     time = star["dim_time"]
     assert values(audit.duplicate_keys(time.unionAll(time), ["time_sk"]), "time_sk", "n") == [
