@@ -118,12 +118,12 @@ def apply(
     at = dict(zip(docs.columns, rows.columns))
     names = rows.columns if keep else [at[key]]
     wanted = rows.select(*names, F.col(at[text]).cast("string").alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast((model.logits(), model.bias))
+    sent = docs.sparkSession.sparkContext.broadcast((model.logits(), model.bias, model.kept))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logits, bias = sent.value
+        logits, bias, kept = sent.value
         for rows in merged(batches, "text", BLOCK_BYTES):
-            found = subwords.score(rows.column("text"), logits, bias, settings)[:, 1]
+            found = subwords.score(rows.column("text"), logits, bias, kept, settings)[:, 1]
             columns = [rows.column(c) for c in names] + [pa.array(found, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "score"])
 

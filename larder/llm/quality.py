@@ -1,8 +1,8 @@
 """Quality classifier: supervised subword embeddings.
 
-Hashed word and character n-gram vectors and a pair feature for repeated words are averaged per text; a
-softmax layer on top gives the class probabilities. All are learned together in numpy by stochastic
-gradient descent.
+Hashed word and character n-gram vectors and a pair feature for repeated words are averaged per text, as far as they tell the
+classes apart beyond chance; a softmax layer on top gives the class probabilities. All are learned together in numpy by
+stochastic gradient descent.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from larder.llm import classifier, subwords
 
-SETTINGS = subwords.Settings(repeats=True, seed=7)
+SETTINGS = subwords.Settings(repeats=True, screen=True, seed=7)
 SAMPLE = classifier.Sample()
 THRESHOLD = 0.3
 
@@ -33,7 +33,7 @@ def score_quality(
 
     Labels and keys only choose what is learned from; the score of a text depends on its words alone. Rules for
     nulls, empty texts and clashing names are those of ``classifier.apply``. Without any labelled row all
-    texts have nearly the same score, about one half.
+    texts have nearly the same score, about one half. Texts without any feature that counts all have the score of the bias.
     """
     texts, marks = classifier.training_sample(docs, labels, key, text, label, learn, sample)
     model = subwords.train(texts, marks, settings)

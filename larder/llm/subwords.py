@@ -17,7 +17,8 @@ class Settings:
     """``buckets``: rows of the vector table (a power of two), half for words and half for n-grams of
     ``shortest`` to ``longest`` bytes, counted with the marks of a word's begin and end. ``repeats``: the word
     pair of two equal words counts too, and is one feature whatever the word. ``steps`` updates of ``batch`` texts each are
-    made, however many texts there are."""
+    made, however many texts there are. ``screen``: only features that stand in more texts of one class than chance explains
+    are averaged (see ``telling``)."""
 
     buckets: int = 1 << 19
     size: int = 4
@@ -28,6 +29,7 @@ class Settings:
     batch: int = 32
     rate: float = 1.0
     repeats: bool = False
+    screen: bool = False
     seed: int = 11
 
 
@@ -36,11 +38,12 @@ class Model:
     vectors: np.ndarray  # bucket x size
     output: np.ndarray  # size x class
     bias: np.ndarray  # class
+    kept: np.ndarray  # bucket: 1 if it counts in averages, else 0
 
     def logits(self) -> np.ndarray:
         """What a feature of each bucket adds to the class sums: an average of vectors followed by the
         output layer is the average of these."""
-        return np.ascontiguousarray((self.vectors @ self.output).T, dtype=np.float32)
+        return np.ascontiguousarray((self.vectors @ self.output * self.kept[:, None]).T, dtype=np.float32)
 
 
 def grams(words: pa.Array, settings: Settings):
@@ -137,11 +140,21 @@ def train(texts: pa.Array, labels: np.ndarray, settings: Settings) -> Model:
         random.uniform(-0.5, 0.5, (settings.buckets, settings.size)).astype(np.float32) / settings.size,
         random.normal(0, 0.5, (settings.size, settings.classes)).astype(np.float32),
         np.zeros(settings.classes, np.float32),
+        np.ones(settings.buckets, np.float32),
     )
     if not len(labels):
         return model
     words, text, word, times = counted(texts, settings)
     buckets, firsts = features(words, settings)
+    if settings.screen:
+        model.kept[:] = telling(text, word, buckets, firsts, labels, settings)
+        chosen = model.kept[buckets] > 0
+        buckets, firsts = buckets[chosen], np.concatenate([[0], np.cumsum(chosen)])[firsts]
+        # Words without any such feature add nothing to a text.
+        has = firsts[1:] > firsts[:-1]
+        place, with_any = np.cumsum(has) - 1, has[word]
+        text, word, times = text[with_any], place[word[with_any]], times[with_any]
+        firsts = np.concatenate([firsts[:-1][has], firsts[-1:]])
     amounts = np.diff(firsts)
     targets = np.eye(settings.classes, dtype=np.float32)[labels]
     model.bias[:] = np.log((targets.sum(axis=0) + 1) / (len(labels) + settings.classes))
@@ -185,6 +198,27 @@ def train(texts: pa.Array, labels: np.ndarray, settings: Settings) -> Model:
     return model
 
 
+def telling(text, word, buckets, firsts, labels, settings: Settings) -> np.ndarray:
+    """1 for each bucket whose number of texts differs between the classes by more than chance, else 0.
+
+    The log-likelihood ratio of "stands in a text" against the class must be above 2 ln(number of buckets that occur), which is
+    what the largest of as many ratios reaches by chance. If none is, all count. One text's buckets are looked at together.
+    """
+    sizes = np.bincount(labels, minlength=settings.classes).astype(float)
+    seen = np.zeros((settings.classes, settings.buckets))
+    edges, amounts = np.searchsorted(text, np.arange(len(labels) + 1)), np.diff(firsts)
+    for i, label in enumerate(labels):
+        own = word[edges[i] : edges[i + 1]]
+        here, _ = distinct(buckets[spans(firsts[own], amounts[own])], settings.buckets)
+        seen[label, here] += 1
+    part = sizes[:, None] / sizes.sum()
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = lambda found: np.where(found > 0, found * np.log(found / (found.sum(axis=0) * part)), 0).sum(axis=0)
+        ratio = 2 * (gain(seen) + gain(sizes[:, None] - seen))
+    kept = ratio > 2 * np.log(max(1, np.count_nonzero(seen.sum(axis=0))))
+    return kept.astype(np.float32) if kept.any() else np.ones(settings.buckets, np.float32)
+
+
 def distinct(values: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values, all below ``limit``, in order, and the place of each value among them."""
     seen = np.zeros(limit, bool)
@@ -206,13 +240,13 @@ def spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, counts) + np.arange(counts.sum())
 
 
-def score(texts: pa.Array, logits: np.ndarray, bias: np.ndarray, settings: Settings) -> np.ndarray:
-    """Class probabilities of each text, from all of its words."""
+def score(texts: pa.Array, logits: np.ndarray, bias: np.ndarray, kept: np.ndarray, settings: Settings) -> np.ndarray:
+    """Class probabilities of each text, from all of its words; a text without a feature that counts has those of the bias."""
     found = encoded(texts, settings)
     text = np.repeat(np.arange(len(texts)), np.diff(found.offsets))
     amounts, per_word = np.zeros(len(found.words)), np.zeros((len(bias), len(found.words)))
     for buckets, owner, count in grams(found.words, settings):
-        amounts += count
+        amounts += np.bincount(owner, kept[buckets], len(amounts)) if settings.screen else count
         for k in range(len(bias)):
             per_word[k] += np.bincount(owner, logits[k][buckets], len(amounts))
     whole = np.maximum(np.bincount(text, amounts[found.codes], len(texts)), 1)

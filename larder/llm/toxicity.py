@@ -1,7 +1,8 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
 A word that never occurred in training still shares its character n-grams with words that did, so
-misspelt insults fall near the known ones.
+misspelt insults fall near the known ones. A few insults make a long text toxic, so only features that tell the classes apart
+beyond chance are averaged; else the many rare words of few training texts are learned by heart.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from larder.llm import classifier, subwords
 
-SETTINGS = subwords.Settings(seed=10)
+SETTINGS = subwords.Settings(buckets=1 << 20, longest=6, screen=True, seed=10)
 SAMPLE = classifier.Sample()
 THRESHOLD = 0.7
 
@@ -32,7 +33,7 @@ def score_toxicity(
 
     Labels and keys only choose what is learned from; the score of a text depends on its words alone. Rules for
     nulls, empty texts and clashing names are those of ``classifier.apply``. Without any labelled row all
-    texts have nearly the same score, about one half.
+    texts have nearly the same score, about one half. Texts without any feature that counts all have the score of the bias.
     """
     texts, marks = classifier.training_sample(docs, labels, key, text, label, learn, sample)
     model = subwords.train(texts, marks, settings)

@@ -1,12 +1,12 @@
 """Classifiers on Spark: sampling, scoring, held-out accuracy on the given tables."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from larder.llm import classifier, quality, queries, subwords, toxicity
 
-SMALL = "/root/testdata/sf0.01"
 QUICK = subwords.Settings(steps=120, repeats=True)
 
 
@@ -50,20 +50,94 @@ def test_sample_is_bounded_and_repeatable(spark, edges):
     assert 0 < sum(len(t.encode()) for t in few.to_pylist()) <= 2000
 
 
-def test_held_out_quality(spark):
-    docs, labels = (queries.table(spark, SMALL, t) for t in ("documents", "labels"))
-    found = quality.score_quality(docs, labels, learn).join(labels, "doc_id").where(~learn(F.col("doc_id")))
-    right = found.where((F.col("score") >= quality.THRESHOLD).cast("int") == F.col("quality")).count()
-    assert right / found.count() > 0.9
-
-
-def test_held_out_toxicity_ranks(spark):
-    """Few labels here, so the order counts: toxic texts stand above the others."""
-    docs, labels = (queries.table(spark, SMALL, t) for t in ("documents", "labels"))
-    rows = toxicity.score_toxicity(docs, labels, learn).join(labels, "doc_id").where(~learn(F.col("doc_id"))).collect()
-    bad, good = [r.score for r in rows if r.toxic], [r.score for r in rows if not r.toxic]
-    above = np.mean([b > g for b in bad for g in good])
-    assert above > 0.75
+def decisions(spark, folder, score, name, mod, held):
+    """Of the held-out labelled documents: how many of a class get which decision, as {(label, predicted): count}."""
+    docs, labels = (queries.table(spark, folder, t) for t in ("documents", "labels"))
+    scored = score(docs, labels, lambda key: queries.remainder(key, mod) != held)
+    scored = scored.join(labels, "doc_id").where(queries.remainder(F.col("doc_id"), mod) == held)
+    module = {"toxic": toxicity, "quality": quality}[name]
+    rows = scored.groupBy(name, module.predicted("score").alias("predicted")).count().collect()
+    return {(r[name], r.predicted): r["count"] for r in rows}
+
+
+def recall(found, label):
+    return found.get((label, label), 0) / (found.get((label, 0), 0) + found.get((label, 1), 0))
+
+
+@pytest.mark.parametrize(("folder", "toxic", "clean"), [("sf0.01", 0.75, 0.97), ("sf0.1", 0.9, 0.99)])
+def test_held_out_toxicity(spark, folder, toxic, clean):
+    """At the smaller size four of the 18 toxic documents hold no insult of the others."""
+    found = decisions(spark, f"/root/testdata/{folder}", toxicity.score_toxicity, "toxic", 3, 1)
+    assert recall(found, 1) >= toxic and recall(found, 0) >= clean
+
+
+@pytest.mark.parametrize(("folder", "poor", "good"), [("sf0.01", 0.8, 0.98), ("sf0.1", 0.97, 0.99)])
+def test_held_out_quality(spark, folder, poor, good):
+    found = decisions(spark, f"/root/testdata/{folder}", quality.score_quality, "quality", 5, 0)
+    assert recall(found, 0) >= poor and recall(found, 1) >= good
+
+
+def plain_features(text, settings):
+    """Buckets of all features of a text, repeated as often as they occur."""
+    return [b for word in text.lower().split() for b in plain_word(word, settings)]
+
+
+def plain_word(word, settings):
+    return subwords.features(pa.array([word]), settings)[0].tolist()
+
+
+TEXTS = ["a good tale of the sea", "you utter fool of a man", "the sea and the man", "a fool and a liar", "", "sea sea sea"]
+MARKS = [0, 1, 0, 1, 0, 0]
+
+
+def test_one_step_of_training():
+    """One update over one batch, against the gradient feature by feature."""
+    settings = subwords.Settings(buckets=1 << 10, steps=1, batch=8, seed=3)
+    found = subwords.train(pa.array(TEXTS), np.array(MARKS), settings)
+    random = np.random.default_rng(settings.seed)
+    vectors = random.uniform(-0.5, 0.5, (settings.buckets, settings.size)).astype(np.float32) / settings.size
+    output = random.normal(0, 0.5, (settings.size, 2)).astype(np.float32)
+    vectors, output = vectors.astype(float), output.astype(float)
+    bias = np.log((np.bincount(MARKS) + 1) / (len(MARKS) + 2))
+    slopes, outputs, biases = {}, np.zeros_like(output), np.zeros(2)
+    for text, mark in zip(TEXTS, MARKS):
+        own = plain_features(text, settings)
+        mean = sum((vectors[b] for b in own), np.zeros(settings.size)) / max(1, len(own))
+        power = np.exp(mean @ output + bias)
+        wrong = power / power.sum() - np.eye(2)[mark]
+        outputs += np.outer(mean, wrong) / len(TEXTS)
+        biases += wrong / len(TEXTS)
+        for b in own:
+            slopes[b] = slopes.get(b, 0) + output @ wrong / len(own)
+    for b, slope in slopes.items():
+        vectors[b] -= slope / np.sqrt(1e-8 + (slope**2).mean())
+    assert np.allclose(found.output, output - outputs, atol=1e-5)
+    assert np.allclose(found.bias, bias - biases, atol=1e-5)
+    assert np.allclose(found.vectors, vectors, atol=1e-3)  # 32-bit sums under the root
+
+
+def test_screen_against_plain_ratios():
+    """Kept are the buckets whose two-by-two table has a ratio above the bound; none kept: all count."""
+    settings = subwords.Settings(buckets=1 << 12, screen=True, steps=20, batch=8, seed=3)
+    texts = [f"word{i} and {'fool' if i % 3 == 0 else 'sage'} x{i * i}" for i in range(60)]
+    marks = np.array([int(i % 3 == 0 and i != 3) for i in range(60)])
+    found = subwords.train(pa.array(texts), marks, settings)
+    sets = [set(plain_features(t, settings)) for t in texts]
+    every = set().union(*sets)
+    for b in range(settings.buckets):
+        table = np.array([[sum(m == c and (b in s) == has for s, m in zip(sets, marks)) for has in (True, False)] for c in (0, 1)])
+        expected = table.sum(axis=1, keepdims=True) * table.sum(axis=0) / len(texts)
+        ratio = 2 * sum(o * np.log(o / e) for o, e in zip(table.ravel(), expected.ravel()) if o)
+        assert (found.kept[b] == 1) == (ratio > 2 * np.log(len(every))), b
+    assert 0 < found.kept.sum() < len(every)
+    scores = subwords.score(pa.array(["fool", "a fool", "sage", "", "qq", "fools"]), found.logits(), found.bias, found.kept, settings)
+    bias = subwords.softmax(found.bias[None].astype(float))[0]
+    assert scores[0, 1] == pytest.approx(scores[1, 1]) and scores[0, 1] > 0.7 > 0.3 > scores[2, 1]
+    assert np.allclose(scores[3], bias, atol=1e-6) and np.allclose(scores[4], bias, atol=1e-6)
+    assert scores[5, 1] > 0.7  # never seen, near a word that was
+    # Too few texts to tell anything: nothing is screened.
+    few = subwords.train(pa.array(TEXTS), np.array(MARKS), settings)
+    assert few.kept.all()
 
 
 def test_long_texts_do_not_crowd_out_a_class(spark):
