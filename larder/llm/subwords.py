@@ -10,6 +10,7 @@ import pyarrow as pa
 from larder.llm import words as W
 
 PART_BYTES = 2 << 20  # of training texts looked at together
+PART_WORDS = 1 << 15  # distinct words whose features are made together
 
 
 @dataclass(frozen=True)
@@ -78,15 +79,20 @@ def grams(words: pa.Array, settings: Settings):
 
 
 def features(words: pa.Array, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets word after word, and where each word's begin."""
-    kinds = list(grams(words, settings))
-    firsts = np.concatenate([[0], np.cumsum(sum(count for _, _, count in kinds))])
-    table, done = np.empty(firsts[-1], np.int32), firsts[:-1].copy()
-    for buckets, owner, count in kinds:
-        within = np.arange(len(buckets)) - (np.cumsum(count) - count)[owner]
-        table[done[owner] + within] = buckets
-        done += count
-    return table, firsts
+    """Buckets word after word, and where each word's begin. Made from some words at a time, as most memory goes to
+    what stands between."""
+    tables, amounts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for at in range(0, len(words), PART_WORDS):
+        kinds = list(grams(words.slice(at, PART_WORDS), settings))
+        amount = sum(count for _, _, count in kinds)
+        table, done = np.empty(amount.sum(), np.int32), np.cumsum(amount) - amount
+        for buckets, owner, count in kinds:
+            within = np.arange(len(buckets)) - (np.cumsum(count) - count)[owner]
+            table[done[owner] + within] = buckets
+            done += count
+        tables.append(table)
+        amounts.append(amount)
+    return np.concatenate(tables), np.concatenate([[0], np.cumsum(np.concatenate(amounts))])
 
 
 REPEAT = "\n"  # white space, so no word is equal to it
@@ -148,8 +154,8 @@ def train(texts: pa.Array, labels: np.ndarray, settings: Settings) -> Model:
     buckets, firsts = features(words, settings)
     if settings.screen:
         model.kept[:] = telling(text, word, buckets, firsts, labels, settings)
-        chosen = model.kept[buckets] > 0
-        buckets, firsts = buckets[chosen], np.concatenate([[0], np.cumsum(chosen)])[firsts]
+        chosen = np.flatnonzero((model.kept > 0)[buckets])
+        buckets, firsts = buckets[chosen], np.searchsorted(chosen, firsts)
         # Words without any such feature add nothing to a text.
         has = firsts[1:] > firsts[:-1]
         place, with_any = np.cumsum(has) - 1, has[word]
@@ -205,18 +211,26 @@ def telling(text, word, buckets, firsts, labels, settings: Settings) -> np.ndarr
     what the largest of as many ratios reaches by chance. If none is, all count. One text's buckets are looked at together.
     """
     sizes = np.bincount(labels, minlength=settings.classes).astype(float)
-    seen = np.zeros((settings.classes, settings.buckets))
+    seen = np.zeros((settings.classes, settings.buckets), np.int32)
     edges, amounts = np.searchsorted(text, np.arange(len(labels) + 1)), np.diff(firsts)
     for i, label in enumerate(labels):
         own = word[edges[i] : edges[i + 1]]
         here, _ = distinct(buckets[spans(firsts[own], amounts[own])], settings.buckets)
         seen[label, here] += 1
     part = sizes[:, None] / sizes.sum()
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = lambda found: np.where(found > 0, found * np.log(found / (found.sum(axis=0) * part)), 0).sum(axis=0)
-        ratio = 2 * (gain(seen) + gain(sizes[:, None] - seen))
-    kept = ratio > 2 * np.log(max(1, np.count_nonzero(seen.sum(axis=0))))
-    return kept.astype(np.float32) if kept.any() else np.ones(settings.buckets, np.float32)
+    present = np.flatnonzero(seen.any(axis=0))
+    least = 2 * np.log(max(1, len(present)))
+    kept = np.zeros(settings.buckets, np.float32)
+
+    def gain(found: np.ndarray) -> np.ndarray:
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(found > 0, found * np.log(found / (found.sum(axis=0) * part)), 0).sum(axis=0)
+
+    for at in range(0, len(present), PART_WORDS):
+        here = present[at : at + PART_WORDS]
+        found = seen[:, here].astype(float)
+        kept[here] = 2 * (gain(found) + gain(sizes[:, None] - found)) > least
+    return kept if kept.any() else np.ones(settings.buckets, np.float32)
 
 
 def distinct(values: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
