@@ -52,10 +52,15 @@ def remainders(names: DataFrame, name: str, edits: int) -> DataFrame:
 
 
 def distinct_names(df: DataFrame, block: str, name: str) -> DataFrame:
-    """Canonical names that occur in each block, each once."""
-    spelt = df.select(F.col(block).alias("block"), F.col(name).alias("name")).distinct()
-    names = spelt.select("block", canonical(F.col("name")).alias("name")).distinct()
-    return names.where(F.col("block").isNotNull() & is_filled(F.col("name")))
+    """Canonical names that occur in each block, each once.
+
+    Spellings and names are counted, and what is tied to a count stays above it. Without that tie, the filter on the canonical form would be
+    pushed below the aggregates and compute it for every row there, more than once.
+    """
+    for column in (F.col(name), canonical(F.col("name"))):
+        counted = df.select(F.col(block).alias("block"), column.alias("name")).groupBy("block", "name").agg(F.count(F.lit(1)).alias("uses"))
+        df, block = counted.select("block", F.when(F.col("uses") > 0, F.col("name")).alias("name")), "block"
+    return df.where(F.col("block").isNotNull() & is_filled(F.col("name")))
 
 
 def _with_remainders(names: DataFrame, alias: str, edits: int) -> DataFrame:

@@ -64,6 +64,15 @@ def test_fuzzy_pairs_ignore_copies(spark):
     assert [tuple(r) for r in linkage.fuzzy_pairs(df, "b", "t", 1).collect()] == [(1, "biere", "bierre", 1)]
 
 
+def test_spellings_are_made_distinct_before_they_are_canonical(spark):
+    """The filter on canonical names must not compute them for every row."""
+    df = spark.createDataFrame([(1, "Créme"), (1, "creme"), (1, "creme"), (None, "x"), (2, None), (2, "!")], "block int, name string")
+    names = linkage.distinct_names(df, "block", "name")
+    assert [tuple(r) for r in names.collect()] == [(1, "creme")]
+    plan = names._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate" in plan and "translate" not in plan[plan.rindex("Aggregate") :]
+
+
 def test_link_to_master(spark):
     master = spark.createDataFrame([(1, "cold bolt"), (1, "old bolt"), (1, "gold bolt")], "b int, t string")
     incoming = spark.createDataFrame([(1, "OLD BOLT"), (1, "olt bolt"), (1, "mold bolt"), (2, "old bolt")], "b int, t string")
