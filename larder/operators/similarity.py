@@ -6,6 +6,9 @@ threshold; pairs that differ too much in length, or whose grams after the shared
 the join, and the others are compared as text. No pair that meets the threshold is lost, and none is made just because two names stand in
 the same block.
 
+With a high threshold names share several of their first grams if the prefix is longer by as many less one. There, names meet on three grams
+at once: names that are alike but for a number share single grams very often, and three of them hardly ever.
+
 A gram that very many prefixes have is dealt to several tasks: names of the left side are spread over its slices, names of the
 right side visit all of them.
 """
@@ -17,10 +20,15 @@ from pyspark.sql import functions as F
 
 from larder.functions.text import edit_distance
 from larder.operators.linkage import distinct_names, similar_names
+from larder.sources.workspace import Workspace
 
 # Canonical names hold letters, digits and blanks only.
 BEGIN, END = "#", "$"
 SLICE = 10_000  # left names with a gram in their prefix that meet others in one task
+TOGETHER = 3  # grams on which names meet at once with a threshold from here on
+HIGH_THRESHOLD = 0.85
+MOST_GRAMS = 32  # of a name that meets others that way: of n grams there are n * (n - 1) * (n - 2) / 6 threes
+NAMES_PER_TASK = 20_000
 BROADCAST_ROWS = 100_000  # rows that a broadcast of gram counts may have; more are joined by a shuffle
 
 
@@ -45,17 +53,28 @@ def _gram_rows(names: DataFrame, q: int) -> DataFrame:
     return rows.select("block", "name", "length", F.size("all").alias("size"), F.explode("all").alias("gram"))
 
 
-def _prefixes(rows: DataFrame, uses: DataFrame, kept: Column) -> DataFrame:
-    """First ``kept`` grams of each name, seldom ones first; ``place`` counts from 0."""
+def _first_grams(rows: DataFrame, uses: DataFrame, kept: Column) -> DataFrame:
+    """First ``kept`` grams of each name, seldom ones first, as a list."""
     counted = rows.join(uses, "gram").groupBy("block", "name", "length", "size")
     ordered = counted.agg(F.sort_array(F.collect_list(F.struct("uses", "gram"))).alias("all"))
-    return ordered.select(
-        "block",
-        F.xxhash64("name").alias("id"),
-        "length",
-        "size",
-        F.posexplode(F.slice("all", F.lit(1), kept.cast("int"))).alias("place", "one"),
-    ).select("block", "id", "length", "size", "place", F.col("one.gram").alias("gram"))
+    first = F.slice("all", F.lit(1), kept.cast("int")).getField("gram")
+    return ordered.select("block", F.xxhash64("name").alias("id"), "length", "size", first.alias("first"))
+
+
+def _prefixes(rows: DataFrame, uses: DataFrame, kept: Column) -> DataFrame:
+    """First ``kept`` grams of each name, a row for each; ``place`` counts from 0."""
+    return _first_grams(rows, uses, kept).select("block", "id", "length", "size", F.posexplode("first").alias("place", "gram"))
+
+
+def _combined(rows: DataFrame, uses: DataFrame, kept: Column) -> DataFrame:
+    """As ``_prefixes``, with the hash of ``TOGETHER`` grams in place of each gram, for all choices of so many of the first ``kept``."""
+    names = ["block", "id", "length", "size"]
+    chosen = _first_grams(rows, uses, kept).select(*names, F.lit(0).cast("long").alias("gram"), F.col("first").alias("rest"))
+    for _ in range(TOGETHER):
+        taken = chosen.select(*names, "gram", "rest", F.posexplode("rest").alias("place", "one"))
+        after = F.slice("rest", F.col("place") + 2, F.size("rest"))
+        chosen = taken.select(*names, F.xxhash64("gram", "one").alias("gram"), after.alias("rest"))
+    return chosen.select(*names, F.lit(0).alias("place"), "gram")
 
 
 def _met(left: DataFrame, right: DataFrame, enough: Column, most: int) -> DataFrame:
@@ -98,10 +117,23 @@ def alike_by_grams(left: DataFrame, right: DataFrame, threshold: float, q: int =
     slack = 1e-9
     a, b = _gram_rows(left, q), _gram_rows(right, q)
     uses = _gram_uses(a, b)
-    kept = F.col("size") - F.ceil(threshold * F.col("size") - slack) + 1
+    shared = F.ceil(threshold * F.col("size") - slack)  # grams that a name shares with any that is similar enough, at least
+    kept = F.col("size") - shared + 1
     needed = F.ceil(threshold / (1 + threshold) * (F.col("l_size") + F.col("r_size")) - slack)
-    enough = (F.least("l_size", "r_size") >= threshold * F.greatest("l_size", "r_size") - slack) & (_reachable() >= needed)
-    pairs = _named(_met(_prefixes(a, uses, kept), _prefixes(b, uses, kept), enough, most), left, right)
+    sizes = F.least("l_size", "r_size") >= threshold * F.greatest("l_size", "r_size") - slack
+    if threshold < HIGH_THRESHOLD:
+        met = _met(_prefixes(a, uses, kept), _prefixes(b, uses, kept), sizes & (_reachable() >= needed), most)
+    else:
+        # Three grams at once, unless a name has very many of them or both have so few that they need not share three.
+        usual = F.col("size") <= MOST_GRAMS
+        threes = [_combined(x.where(usual), uses, kept + (TOGETHER - 1)) for x in (a, b)]
+        few = shared < TOGETHER
+        other = few | (F.col("size") >= threshold * MOST_GRAMS - 1)
+        single = [_prefixes(x.where(other), uses, kept) for x in (a, b)]
+        least = F.ceil(threshold * F.greatest("l_size", "r_size") - slack)
+        left_over = (F.greatest("l_size", "r_size") > MOST_GRAMS) | (least < TOGETHER)
+        met = _met(*threes, sizes, most).unionByName(_met(*single, sizes & left_over & (_reachable() >= needed), most))
+    pairs = _named(met, left, right)
     score = jaccard(grams(F.col("left_name"), q), grams(F.col("right_name"), q))
     return pairs.withColumn("similarity", score).where(F.col("similarity") >= threshold)
 
@@ -126,6 +158,15 @@ def alike_by_edits(left: DataFrame, right: DataFrame, edits: int, q: int = 2, mo
     return found.where(F.col("distance").isNotNull()).unionByName(rest)
 
 
+def _spread(names: DataFrame, work: Workspace | None) -> DataFrame:
+    """Names as stored in ``work``, in as many parts as their number asks for: a few megabytes of names are much work."""
+    if work is None:
+        return names
+    stored = work.store(names, "names")
+    parts = -(-stored.count() // NAMES_PER_TASK)
+    return stored.repartition(parts, "block", "name") if parts > 1 else stored
+
+
 def similar_titles(
     left: DataFrame,
     right: DataFrame,
@@ -135,12 +176,15 @@ def similar_titles(
     edits: int | None = None,
     q: int = 2,
     most: int = SLICE,
+    work: Workspace | None = None,
 ) -> DataFrame:
     """Pairs of canonical names of two tables, by ``threshold`` (Jaccard, of grams) or by ``edits``; equal names included. Rows
-    without a block or a name have no pairs, copies of a name count once."""
+    without a block or a name have no pairs, copies of a name count once. With ``work`` names are stored there, once for a table that is
+    joined with itself, and spread over tasks."""
     if (threshold is None) == (edits is None):
         raise ValueError("give a threshold or a number of edits")
-    a, b = distinct_names(left, block, name), distinct_names(right, block, name)
+    a = _spread(distinct_names(left, block, name), work)
+    b = a if right is left and work else _spread(distinct_names(right, block, name), work)
     if threshold is not None:
         return alike_by_grams(a, b, threshold, q, most)
     return alike_by_edits(a, b, edits, q, most)

@@ -102,3 +102,34 @@ def test_plan_joins_on_grams_only(spark):
     for options in ({"threshold": 0.7}, {"edits": 3}):
         plan = similarity.similar_titles(df, df, "block", "name", **options)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("threshold, letters, most", [(0.85, "ab", 10_000), (0.9, "abc", 2), (1.0, "abcd ", 2)])
+def test_high_thresholds_equal_all_pairs(spark, threshold, letters, most):
+    """Names of few grams, of many and of very many, which meet on one gram or on three."""
+    r = random.Random(4)
+    long = ["".join(r.choices("abcdefghij", k=n)) for n in (20, 27, 30, 31, 32, 33, 34, 36, 60)]
+    long += [x[:-1] for x in long] + [x + "j" for x in long]
+    repeated = ["a" * n for n in range(1, 8)] + ["ab" * n for n in range(1, 8)]
+    rows = sorted({(n % 2, x) for n in (0, 1) for x in [*long, *repeated, *(y for _, y in names(3, letters))]})
+    df = spark.createDataFrame(rows, LAYOUT).repartition(3)
+    expected = set()
+    for block, x in rows:
+        for other, y in rows:
+            g, h = plain_grams(x, 2), plain_grams(y, 2)
+            if block == other and len(g & h) / len(g | h) >= threshold:
+                expected.add((block, x, y))
+    found = [(r.block, r.left_name, r.right_name) for r in similarity.alike_by_grams(df, df, threshold, 2, most).collect()]
+    assert len(found) == len(expected) > len(rows) * (threshold == 1.0)
+    assert set(found) == expected
+
+
+def test_names_alike_but_for_a_number_hardly_meet(spark, monkeypatch):
+    """Pairs that are looked at grow with the names, not with their square."""
+    met, looked_at = similarity._met, []
+    monkeypatch.setattr(similarity, "_met", lambda *args: looked_at.append(met(*args)) or looked_at[-1])
+    for n in (1000, 4000):
+        df = spark.createDataFrame([(1, f"customer {i * 37:09d}") for i in range(n)], LAYOUT)
+        assert similarity.alike_by_grams(df, df, 0.9, 3).count() >= n
+        assert sum(x.count() for x in looked_at) < 20 * n
+        looked_at.clear()
