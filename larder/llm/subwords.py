@@ -254,8 +254,13 @@ def spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, counts) + np.arange(counts.sum())
 
 
-def score(texts: pa.Array, logits: np.ndarray, bias: np.ndarray, kept: np.ndarray, settings: Settings) -> np.ndarray:
-    """Class probabilities of each text, from all of its words; a text without a feature that counts has those of the bias."""
+def score(
+    texts: pa.Array, logits: np.ndarray, bias: np.ndarray, kept: np.ndarray | Settings, settings: Settings | None = None
+) -> np.ndarray:
+    """Class probabilities of each text, from all of its words; a text without a feature that counts has those of the bias.
+    ``kept`` may be left out where the settings do not screen features."""
+    if settings is None:
+        kept, settings = None, kept
     found = encoded(texts, settings)
     text = np.repeat(np.arange(len(texts)), np.diff(found.offsets))
     amounts, per_word = np.zeros(len(found.words)), np.zeros((len(bias), len(found.words)))
