@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 import sys
 import unicodedata
 
@@ -195,3 +196,20 @@ def test_json_list(spark):
 def test_edit_distance_limit(spark):
     df = spark.createDataFrame([("é", "e"), ("abc", "xyz")], "a string, b string")
     assert [r[0] for r in df.select(X.edit_distance(F.col("a"), F.col("b"), 2)).collect()] == [1, None]
+
+
+def test_white_space_of_any_kind_is_collapsed(spark):
+    texts = [None, "", " ", "a", " a b ", "a  b", "a\tb", "a\n b", "a\x0bb", "a\fb", "a\r\nb", "a  b", "\t", " é  É "]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = rows.select("t", X.collapse_spaces(F.col("t")).alias("c")).collect()
+    assert [r["c"] for r in found] == [None if t is None else re.sub(r"[ \t\n\x0b\f\r]+", " ", t).strip(" ") for t in texts]
+
+
+def test_issues_as_json(spark):
+    rows = spark.createDataFrame(
+        [(s, g, b, c) for s in (None, 25.0, 26.0) for g in (None, 80.0, 81.0) for b in (None, "", "x") for c in (None, "", "x")],
+        "salt double, sugars double, brand string, category string",
+    )
+    columns = [F.col(c) for c in rows.columns]
+    found = rows.select(Q.quality_issues_json(*columns).alias("text"), F.to_json(Q.quality_issues(*columns)).alias("json")).collect()
+    assert len(found) == 81 and all(r["text"] == r["json"] for r in found)
