@@ -26,14 +26,16 @@ class LaidOut:
     buckets: int = 256
 
     def write(self, fact: DataFrame, product: DataFrame) -> None:
-        """Rows of the fact without a date are left out. A task writes one bucket of each year, so there are at most ``buckets`` files a year."""
+        """Rows of the fact without a date are left out. A task writes whole buckets of a year, so there are at most ``buckets`` files a year."""
         dated = fact.where(F.col("time_sk").isNotNull()).withColumn(YEAR, F.floor(F.col("time_sk") / 10000).cast("int"))
         for name, rows, years in ((FACT, dated, [YEAR]), (DIMENSION, product, [])):
             if exists(rows.sparkSession, self._place(name)):
                 raise ValueError(f"{self._place(name)} exists")
             table = self._new_name(name)
-            # The same hash as the buckets', so each task has whole buckets; sorted by year, so it has one file open.
-            dealt = rows.repartition(self.buckets, PRODUCT).sortWithinPartitions(*years, PRODUCT)
+            # Each bucket of a year is in one task, and few of them are, so that a task does not sort whole buckets. The writer sorts.
+            tasks = max(self.buckets, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))) if years else self.buckets
+            bucket = F.pmod(F.hash(PRODUCT), F.lit(self.buckets)) if years else F.col(PRODUCT)
+            dealt = rows.repartition(tasks, bucket, *years)
             writer = dealt.write.format("parquet").option("path", self._place(name)).bucketBy(self.buckets, PRODUCT).sortBy(PRODUCT)
             (writer.partitionBy(*years) if years else writer).saveAsTable(table)
             rows.sparkSession.sql(f"DROP TABLE {table}")  # the files stay

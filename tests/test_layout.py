@@ -112,3 +112,18 @@ def test_weekly_report_reads_only_the_years_its_days_are_in(spark, tables, opene
         children = node.children()
         scans += [children.apply(i) for i in range(children.size())]
     assert found == [2]
+
+
+def test_no_task_sorts_a_whole_bucket(spark, tables, tmp_path):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        place = layout.LaidOut(f"{tmp_path}/fact", buckets=2)
+        place.write(*tables[:2])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    fact = place.open(spark)[layout.FACT]
+    files = [file.rpartition("/")[2] for file in fact.inputFiles()]
+    assert len(files) <= 2 * 5 and len({file.split("-")[1] for file in files}) > 2
+    assert fact.count() == tables[0].where("time_sk is not null").count()
+    assert "Exchange" not in plan(fact.groupBy("product_sk").count())

@@ -198,3 +198,23 @@ def test_sample_of_a_small_table(spark):
     df = bronze(spark, {"code": "2"}, {"code": None}, {"code": "1"})
     assert [r["code"] for r in csv_sample(df, "code", 10).collect()] == ["1", "2", None]
     assert [r["code"] for r in csv_sample(df, "code", 2).collect()] == ["1", "2"]
+
+
+def test_sources_chosen_before_the_exchange_give_the_same_rows(spark):
+    """Ties that only the hash of the row settles included."""
+    rows = spark.range(300).select(
+        (F.col("id") % 20).cast("string").alias("code"),
+        F.when(F.col("id") % 3 == 0, "").when(F.col("id") % 3 == 1, "Nom").alias("product_name_fr"),
+        F.when(F.col("id") % 7 > 2, F.concat(F.lit("name "), F.col("id"))).alias("product_name"),
+        F.lit("Name").alias("product_name_en"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("en:Tea,77,fr:x "), F.col("id"))).alias("categories_tags"),
+        F.concat(F.lit(" Tea ;  b"), F.col("id")).alias("categories"),
+        F.when(F.col("id") % 4 > 1, "").alias("countries_tags"),
+        F.lit("France,Spain").alias("countries"),
+        (F.col("id") % 2 * 86400).cast("string").alias("last_modified_t"),
+    )
+    for keys in (("code",), ("code", "event_date")):
+        found = [silver_products(rows, keys, sources_first=first) for first in (False, True)]
+        assert found[0].schema == found[1].schema
+        a, b = (sorted(map(str, x.collect())) for x in found)
+        assert a == b and len(a) == 20

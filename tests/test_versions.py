@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from larder.catalogue import fixtures as fx
+from larder.sources.workspace import Workspace
 
 
 @pytest.fixture
@@ -31,3 +32,33 @@ def test_versions_are_spread_before_they_are_expanded(spark, folder, monkeypatch
     assert sorted(map(str, spread.collect())) == sorted(map(str, whole.collect())) and spread.count() == 206
     assert spread.rdd.getNumPartitions() == 11
     assert max(spread.rdd.glom().map(len).collect()) < 60
+
+
+def test_one_exchange_brings_lines_to_tasks_and_parts(spark, folder, monkeypatch):
+    """Unless a part fills a task, lines are spread by part as they are, and the join needs no other exchange of them."""
+    whole = fx.versions(spark, folder)
+    monkeypatch.setattr(fx, "VERSIONS_PER_TASK", 40)
+    old = {name: spark.conf.get(name) for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        parted = fx.versions(spark, folder)
+        plan = parted._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("hashpartitioning(l_partkey") == 1
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    parted = fx.versions(spark, folder)
+    assert sorted(map(str, parted.collect())) == sorted(map(str, whole.collect()))
+    tasks = parted.rdd.map(lambda row: row["code"]).glom().collect()
+    assert len(tasks) == 6 and sum(len(set(codes)) for codes in tasks) == 7
+
+
+def test_fact_and_dates_from_snapshots_stored_once(spark, folder, tmp_path):
+    names = ("fact_nutrition_snapshot", "dim_time", "dim_product")
+    plain = fx.star(spark, folder, *names)
+    with Workspace(spark, f"{tmp_path}/work") as work:
+        stored = fx.star(spark, folder, *names, work=work)
+        for name in names:
+            assert sorted(map(str, stored[name].collect())) == sorted(map(str, plain[name].collect()))
+        for name in names[:2]:
+            assert not any("lineitem" in file for file in stored[name].inputFiles())
