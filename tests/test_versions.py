@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from larder.catalogue import fixtures as fx
+from larder.catalogue.queries import QUERIES
 from larder.sources.workspace import Workspace
 
 
@@ -62,3 +63,73 @@ def test_fact_and_dates_from_snapshots_stored_once(spark, folder, tmp_path):
             assert sorted(map(str, stored[name].collect())) == sorted(map(str, plain[name].collect()))
         for name in names[:2]:
             assert not any("lineitem" in file for file in stored[name].inputFiles())
+
+
+@pytest.fixture
+def by_code(spark, tmp_path, monkeypatch):
+    """Many parts, two of them with one code, and a session in which rows may be spread by some of the keys that they are grouped by."""
+    day = dt.datetime(1998, 1, 1)
+    parts = [*range(2000), 12345678901234, 12345678901235]
+    lines = [(i, p, i % 3, i % 7, float(i % 90), 0.1, 0.02, day + dt.timedelta(days=i % 50)) for i, p in enumerate(parts * 3)]
+    lines += lines[:50] + [(1, None, 1, 1, 1.0, 0.1, 0.02, day), (2, 5, 1, 1, 1.0, 0.1, 0.02, None)]
+    tables = {
+        "lineitem": (lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double, l_tax double, l_shipdate timestamp"),
+        "part": ([(p, f"name {p * 7919 % 10007}", f"Brand#{p % 25}", f"SMALL {p * 31 % 97}", p % 50) for p in parts], "p_partkey long, p_name string, p_brand string, p_type string, p_size int"),
+        "supplier": ([(i, i) for i in range(3)], "s_suppkey long, s_nationkey int"),
+        "nation": ([(i, f"NATION_{i}") for i in range(3)], "n_nationkey int, n_name string"),
+    }
+    for name, (rows, layout) in tables.items():
+        spark.createDataFrame(rows, layout).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(fx, "VERSIONS_PER_TASK", 500)
+    settings = {
+        "spark.sql.requireAllClusterKeysForDistribution": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "8k",
+        "spark.sql.adaptive.enabled": "false",
+    }
+    old = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield str(tmp_path)
+    for name, value in old.items():
+        spark.conf.set(name, value)
+
+
+def exchanges(df):
+    """Exchanges of rows by keys; those that are read again count once."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    return [line for line in lines if " Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_wide_rows_of_a_code_need_no_exchange(spark, by_code, monkeypatch):
+    """Lines and parts are spread by code, narrow; newest rows per code, or code and date, are found where they are."""
+    made = {"versions": fx.versions, "products": fx.products, "snapshots": fx.snapshots}
+    spread = {name: make(spark, by_code) for name, make in made.items()}
+    for name, df in spread.items():
+        assert len(exchanges(df)) == 2 and all("_partkey" in line for line in exchanges(df)), name
+    found = {name: rows_of(df) for name, df in spread.items()}
+    monkeypatch.setattr(fx, "VERSIONS_PER_TASK", 10**6)
+    for name, make in made.items():
+        assert found[name] == rows_of(make(spark, by_code)), name
+    assert len(found["versions"]) == 2002 * 3 + 51
+
+
+def test_parts_that_share_a_code_keep_their_lines(spark, by_code):
+    long_codes = fx.versions(spark, by_code).where("code = '1234567890123'")
+    assert long_codes.count() == 6 and long_codes.select("product_name_en").distinct().count() == 2
+
+
+def test_lines_are_counted_by_bucket_unless_one_is_too_full(spark):
+    lines = spark.createDataFrame([(i % 5,) for i in range(100)] + [(None,)] * 500, "l_partkey long")
+    assert fx._line_counts(lines, 20) == (100, False)
+    assert fx._line_counts(lines, 19) == (100, True)
+    assert fx._line_counts(lines, 100) == (100, False)
+
+
+@pytest.mark.parametrize("name, most", [("append_no_dupe_rows", 3), ("fact_versions", 3), ("fact_snapshot_lookup", 2)])
+def test_line_items_are_sent_once_for_several_tables(spark, by_code, name, most):
+    sent = [line for line in exchanges(QUERIES[name](spark, by_code)) if "(l_partkey" in line]
+    assert 0 < len(sent) <= most, sent
