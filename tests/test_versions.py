@@ -3,9 +3,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from larder.catalogue import fixtures as fx
 from larder.catalogue.queries import QUERIES
+from larder.plans import jobs
 from larder.sources.workspace import Workspace
 
 
@@ -133,3 +135,11 @@ def test_lines_are_counted_by_bucket_unless_one_is_too_full(spark):
 def test_line_items_are_sent_once_for_several_tables(spark, by_code, name, most):
     sent = [line for line in exchanges(QUERIES[name](spark, by_code)) if "(l_partkey" in line]
     assert 0 < len(sent) <= most, sent
+
+
+def test_stored_snapshots_of_a_code_lie_in_one_file(spark, by_code, tmp_path):
+    """So the newest row of a code is found by the task that reads it, and one row per code is sent on."""
+    jobs.write_silver(fx.snapshots(spark, by_code), f"{tmp_path}/silver")
+    stored = spark.read.parquet(f"{tmp_path}/silver/products")
+    files = stored.groupBy("code").agg(F.countDistinct(F.input_file_name()).alias("files"), F.countDistinct("event_date").alias("dates"))
+    assert files.agg(F.max("files"), F.max("dates")).first()[:] == (1, 3)
