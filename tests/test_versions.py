@@ -140,6 +140,7 @@ def test_line_items_are_sent_once_for_several_tables(spark, by_code, name, most)
 def test_stored_snapshots_of_a_code_lie_in_one_file(spark, by_code, tmp_path):
     """So the newest row of a code is found by the task that reads it, and one row per code is sent on."""
     jobs.write_silver(fx.snapshots(spark, by_code), f"{tmp_path}/silver")
-    stored = spark.read.parquet(f"{tmp_path}/silver/products")
-    files = stored.groupBy("code").agg(F.countDistinct(F.input_file_name()).alias("files"), F.countDistinct("event_date").alias("dates"))
-    assert files.agg(F.max("files"), F.max("dates")).first()[:] == (1, 3)
+    stored = spark.read.parquet(f"{tmp_path}/silver/products").select("code", "event_date", F.input_file_name().alias("file"))
+    found = stored.groupBy("code").agg(F.countDistinct("file").alias("files"), F.countDistinct("event_date").alias("dates"))
+    most = found.agg(F.max("files"), F.max("dates")).first()
+    assert most[0] == 1 and most[1] > 1
